@@ -1,0 +1 @@
+"""Deliberately empty: the workload covered by this library is batch only."""
