@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldcast.functions.keys import finite
@@ -13,6 +13,11 @@ from fieldcast.operators.ranking import null_safe_join
 _ACCURACY = 10000
 
 
+def _nudged(bound: Column, direction: int) -> Column:
+    """A bound moved outwards a little, as a recomputed mean may differ in its last bits."""
+    return bound + F.lit(direction) * F.abs(bound) * F.lit(1e-9)
+
+
 def to_long(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """One row per key, feature and finite value."""
     wide = df.select(*keys, *[finite(F.col(f"`{c}`")).alias(c) for c in cols])
@@ -40,8 +45,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     tagged = null_safe_join(long, sketch, [*keys, "feature"], "inner").select(
         *keys, "feature", "value", "n",
         F.explode(F.array(*[
-            F.struct(F.lit(float(p)).alias("p"), F.col("_bounds")[2 * i].alias("lo"),
-                     F.col("_bounds")[2 * i + 1].alias("hi"))
+            F.struct(F.lit(float(p)).alias("p"),
+                     _nudged(F.col("_bounds")[2 * i], -1).alias("lo"),
+                     _nudged(F.col("_bounds")[2 * i + 1], 1).alias("hi"))
             for i, p in enumerate(probs)])).alias("b"))
     side = F.when(F.col("value") < F.col("b.lo"), 0).when(
         F.col("value") <= F.col("b.hi"), 1).otherwise(2)

@@ -54,8 +54,13 @@ def surrogate_keys(df: DataFrame, order_cols: Sequence[str], out: str) -> DataFr
 
 
 def global_dense_rank(df: DataFrame, col: str, out: str, descending: bool = True) -> DataFrame:
-    """Dense rank over the whole table: number the distinct values, join them back."""
+    """Dense rank over the whole table: number the distinct values, join them back.
+
+    The table is pinned first: a mean that is computed again may differ in its last bit,
+    and would then not find its own rank.
+    """
     direction = F.desc_nulls_last if descending else F.asc_nulls_last
+    df = checkpoint(df)
     ranks = global_order(df.select(col).distinct(), [direction(col)], out).select(
         F.col(col).alias("_value"), F.col(out).cast("int").alias(out))
     return df.join(ranks, df[col].eqNullSafe(ranks["_value"]), "left").drop("_value")

@@ -14,7 +14,8 @@ from fieldcast.functions.keys import finite
 from fieldcast.functions.scores import correlation_strength, vif_flag
 from fieldcast.operators.clean import complete_cases
 from fieldcast.operators.quantiles import exact_quantiles, to_long
-from fieldcast.operators.ranking import global_order, null_safe_join
+from fieldcast.operators.ranking import global_order
+from fieldcast.session import checkpoint
 
 
 def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], name: str) -> DataFrame:
@@ -32,7 +33,7 @@ def pearson_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return _pairs(clean, list(combinations(cols, 2)), "correlation")
 
 
-def mirror(pairs: DataFrame, value: str = "correlation") -> DataFrame:
+def mirror(pairs: DataFrame) -> DataFrame:
     """Both triangles of a pair table."""
     flipped = pairs.select(F.col("feature_2").alias("feature_1"),
                            F.col("feature_1").alias("feature_2"),
@@ -65,8 +66,11 @@ def average_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def with_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Replace each value by its average rank (complete rows)."""
-    out = complete_cases(df.select(*cols), cols)
+    """Replace each value by its average rank (complete rows).
+
+    The rows are pinned, since they meet their ranks by exact equality.
+    """
+    out = checkpoint(complete_cases(df.select(*cols), cols))
     ranks = average_ranks(out, cols)
     for c in cols:
         mine = ranks.filter(F.col("feature") == c).select(
@@ -101,12 +105,11 @@ def pair_report(df: DataFrame, cols: Sequence[str], watch: float = 0.80,
 
 def max_partner(pairs: DataFrame, value: str = "correlation") -> DataFrame:
     """Strongest partner of each feature; the alphabetically first wins a tie."""
-    both = mirror(pairs, value).withColumn("_abs", F.abs(F.col(value)))
-    best = both.groupBy("feature_1").agg(F.max("_abs").alias("max_abs_correlation"))
-    return both.join(best, "feature_1").filter(
-        F.col("_abs") == F.col("max_abs_correlation")).groupBy(
-        F.col("feature_1").alias("feature"), "max_abs_correlation").agg(
-        F.min("feature_2").alias("most_correlated_with"))
+    best = F.min(F.struct((-F.abs(F.col(value))).alias("a"), "feature_2")).alias("b")
+    return mirror(pairs).filter(F.col(value).isNotNull()).groupBy(
+        F.col("feature_1").alias("feature")).agg(best).select(
+        "feature", (-F.col("b.a")).alias("max_abs_correlation"),
+        F.col("b.feature_2").alias("most_correlated_with"))
 
 
 def target_relevance(df: DataFrame, features: Sequence[str],

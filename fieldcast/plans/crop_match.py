@@ -13,9 +13,8 @@ from fieldcast.sources.sinks import add_audit_columns, write_dataset
 def named_daily(daily: DataFrame, dim_city: DataFrame, dim_state: DataFrame,
                 dim_region: DataFrame) -> DataFrame:
     """Daily weather with the names of its places."""
-    places = dim_city.select("city_id", "city_name", "district").join(
-        daily.select("city_id", "state_id", "region_id").distinct(), "city_id").join(
-        dim_state.select("state_id", "state_name"), "state_id").join(
+    places = dim_city.select("city_id", "city_name", "district", "state_id").join(
+        dim_state.select("state_id", "state_name", "region_id"), "state_id").join(
         dim_region.select("region_id", "region_name"), "region_id")
     return daily.join(places.select("city_id", *MATCH_KEYS[:4]), "city_id")
 

@@ -7,6 +7,8 @@ readers in ``VIEW_ORDER``.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 _NAMED = ("region_id, state_id, city_id, city_name, state_name, region_name, season, "
@@ -91,11 +93,14 @@ VIEW_ORDER: dict[str, str] = {
 }
 
 
-def create_views(spark: SparkSession, database: str | None = None) -> None:
-    """Create all views, as temporary views or in a database."""
-    for name, body in VIEWS.items():
+def create_views(spark: SparkSession, database: str | None = None,
+                 names: Iterable[str] = tuple(VIEWS)) -> None:
+    """Create the views, as temporary views or in a database."""
+    if database:
+        spark.sql(f"USE {database}")
+    for name in names:
+        body = VIEWS[name]
         if database:
-            spark.sql(f"USE {database}")
             spark.sql(f"CREATE OR REPLACE VIEW {name} AS {body}")
         else:
             spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS {body}")
