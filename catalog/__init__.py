@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("gold", "silver")
+SECTIONS = ("gold", "silver", "profile")
 
 
 def load():
