@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("gold", "silver", "profile")
+SECTIONS = ("gold", "silver", "profile", "crop")
 
 
 def load():

@@ -412,8 +412,8 @@ def crop_silver(spark: SparkSession, sf: str) -> DataFrame:
 
 
 CTE["crop_silver"] = (("crops",), """
-  SELECT trim("Crop") AS crop, state, "Temperature_C" AS temperature_c, "Humidity_%",
-    "Rainfall_mm" AS rainfall_mm, "pH" AS ph, "Yield_kg_per_ha" AS yield_kg_per_ha,
+  SELECT trim("Crop") AS crop, state, "Temperature_C" AS temperature_c,
+    "Humidity_%" AS "humidity_%", "Rainfall_mm" AS rainfall_mm, "pH" AS ph, "Yield_kg_per_ha" AS yield_kg_per_ha,
     "Wind_Speed_m_s" * 2 AS total_n_kg, "Wind_Speed_m_s" AS total_p_kg, "pH" AS total_k_kg
   FROM crops""")
 

@@ -7,6 +7,8 @@ first; beyond the limit it is cut into blocks that are scored one after the othe
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,21 @@ def blocks(df: DataFrame, key: str, per_block: int = BLOCK_ROWS) -> list[DataFra
     return [df.filter(slot == i) for i in range(parts)]
 
 
-def packed(df: DataFrame, *cols: str | Column) -> Column:
-    """The block as an array of structs."""
-    return df.agg(F.collect_list(F.struct(*cols)).alias("a")).scalar()
+def attach(df: DataFrame, name: str, block: DataFrame, *cols: str | Column) -> DataFrame:
+    """Add the block to every row of ``df`` as an array of structs.
+
+    The array is a scalar subquery: it is computed once and reaches the tasks as one
+    constant, not as a copy per row.
+    """
+    array = block.agg(F.collect_list(F.struct(*cols)).alias("a")).scalar()
+    return df.withColumn(name, array)
+
+
+def best_of(df: DataFrame, parts: list[DataFrame], cols: Sequence[str | Column],
+            score: Callable[[Column], Column], out: str) -> DataFrame:
+    """Smallest ``score(entry)`` struct over the entries of all blocks."""
+    names = [f"_block{i}" for i in range(len(parts))]
+    for name, part in zip(names, parts):
+        df = attach(df, name, part, *cols)
+    near = [F.array_min(F.transform(name, score)) for name in names]
+    return df.withColumn(out, near[0] if len(near) == 1 else F.least(*near)).drop(*names)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldcast import config as C
 from fieldcast.functions import scores as S
-from fieldcast.operators.blocks import BLOCK_ROWS, blocks, packed
+from fieldcast.operators.blocks import BLOCK_ROWS, attach, blocks
 from fieldcast.operators.clean import clean_columns, clean_crop, rename_if_absent
 from fieldcast.operators.ranking import relative_to_max
 
@@ -123,8 +123,8 @@ def build_crop_weather_match(profile: DataFrame, crops: DataFrame, top: int = C.
     parts = blocks(spanned, "Crop", per_block)
     results = []
     for part in parts:
-        with_array = profile.withColumn("_crops", packed(
-            part, *[F.col(f"`{c}`") for c in spanned.columns]))
+        with_array = attach(profile, "_crops", part,
+                            *[F.col(f"`{c}`") for c in spanned.columns])
         scored = with_array.withColumn("_scored", F.transform("_crops", lambda c: F.struct(
             _match_score(c, features).alias("match_score"), c.alias("crop")))).drop("_crops")
         # descending distinct scores; the position of a score is its dense rank
@@ -251,7 +251,8 @@ def predict_suitability(conditions: DataFrame, crops: DataFrame, recency: bool =
     parts = blocks(crops, "crop", per_block)
     results = []
     for part in parts:
-        arrays = conditions.withColumn("_s", F.transform(packed(part, *crops.columns), scored))
+        arrays = attach(conditions, "_s", part, *crops.columns).withColumn(
+            "_s", F.transform("_s", scored))
         if top:
             arrays = arrays.withColumn("_s", F.slice(F.sort_array("_s", asc=False), 1, top))
         results.append(arrays.select(*conditions.columns, F.inline("_s")))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldcast.operators.blocks import blocks, packed
+from fieldcast.operators.blocks import best_of, blocks
 
 EARTH_RADIUS = 6378137.0
 
@@ -105,16 +105,14 @@ def nearest_polygon(points: DataFrame, polys: DataFrame, lng: str = "lng", lat:
     metric = with_edges(polys).withColumn("edges", F.transform("edges", project))
     px, py = mercator(F.col(lng), F.col(lat))
     located = points.withColumns({"_px": px, "_py": py})
-    best = None
-    for part in blocks(metric, "polygon_id", per_block):
-        near = F.array_min(F.transform(
-            packed(part, "polygon_id", "state", "district", "edges"), lambda p: F.struct(
-                F.array_min(F.transform(p["edges"], lambda e: segment_distance(
-                    F.col("_px"), F.col("_py"), e))).alias("distance"),
-                p["polygon_id"].alias("polygon_id"), p["state"].alias("state"),
-                p["district"].alias("district"))))
-        best = near if best is None else F.least(best, near)
-    return located.withColumn("_best", best).withColumns({
+    nearest = best_of(
+        located, blocks(metric, "polygon_id", per_block),
+        ["polygon_id", "state", "district", "edges"], lambda p: F.struct(
+            F.array_min(F.transform(p["edges"], lambda e: segment_distance(
+                F.col("_px"), F.col("_py"), e))).alias("distance"),
+            p["polygon_id"].alias("polygon_id"), p["state"].alias("state"),
+            p["district"].alias("district")), "_best")
+    return nearest.withColumns({
         "polygon_id": F.col("_best.polygon_id"), "state": F.col("_best.state"),
         "district": F.col("_best.district"), "distance": F.col("_best.distance"),
     }).drop("_px", "_py", "_best")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fieldcast import config as C
 from fieldcast.functions import calendar as cal
 from fieldcast.functions.scores import solar_class, wind_class
-from fieldcast.operators.blocks import blocks, packed
+from fieldcast.operators.blocks import best_of, blocks
 from fieldcast.operators.clean import project
 from fieldcast.operators.rollup import city_features
 
@@ -153,13 +153,12 @@ def score_nearest(df: DataFrame, vector: str, params: DataFrame, means: Column |
     if means is not None:
         centred = F.zip_with(vec, means, lambda x, m: x - m)
         vec = F.zip_with(centred, sds, lambda x, s: F.when(s != 0, x / s).otherwise(0.0))
-    best = None
-    for part in blocks(params, "cluster_id"):
-        near = F.array_min(F.transform(packed(part, "cluster_id", "centroid"), lambda p: F.struct(
+    nearest = best_of(
+        df.withColumn("_vec", vec), blocks(params, "cluster_id"), ["cluster_id", "centroid"],
+        lambda p: F.struct(
             F.sqrt(squared_distance(F.col("_vec"), p["centroid"])).alias("distance"),
-            p["cluster_id"].alias("cluster_id"))))
-        best = near if best is None else F.least(best, near)
-    return df.withColumn("_vec", vec).withColumn("_best", best).withColumns({
+            p["cluster_id"].alias("cluster_id")), "_best")
+    return nearest.withColumns({
         "cluster_id": F.col("_best.cluster_id"),
         "distance_to_centroid": F.col("_best.distance")}).drop("_vec", "_best")
 

@@ -169,12 +169,12 @@ def mutual_information(df: DataFrame, features: Sequence[str], target: str,
     edges = exact_quantiles(clean, cols, [i / bins for i in range(1, bins)]).groupBy(
         "feature").agg(F.sort_array(F.collect_list("value")).alias("e"))
     packed = edges.agg(F.map_from_entries(F.collect_list(F.struct("feature", "e"))).alias("m"))
-    lookup = packed.scalar()
 
     def bin_of(c: str) -> Column:
-        return F.size(F.filter(F.element_at(lookup, F.lit(c)), lambda e: e < F.col(c)))
+        return F.size(F.filter(F.element_at("_edges", F.lit(c)), lambda e: e < F.col(c)))
 
-    binned = clean.select(*[bin_of(c).alias(c) for c in cols])
+    binned = clean.withColumn("_edges", packed.scalar()).select(
+        *[bin_of(c).alias(c) for c in cols])
     wanted = [f for f in features if f != target]
     joint = binned.select(F.col(target).alias("y"), F.explode(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.col(f).alias("x")) for f in wanted])).alias("s")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldcast import config as C
-from fieldcast.operators.blocks import blocks, packed
+from fieldcast.operators.blocks import attach, blocks
 from fieldcast.operators.ranking import dedup_first
 
 
@@ -153,8 +153,9 @@ def keyword_topk(queries: DataFrame, chunks: DataFrame, k: int = 2, name: str =
     keep = [c for c in chunks.columns]
     found = []
     for part in blocks(queries.select(name).distinct(), name):
-        hits = F.filter(packed(part, name), lambda n: F.contains(F.lower(text), F.lower(n[name])))
-        found.append(chunks.select(*keep, F.explode(hits).alias("_n")).select(
+        hits = F.filter("_n", lambda n: F.contains(F.lower(text), F.lower(n[name])))
+        named = attach(chunks, "_n", part, name)
+        found.append(named.select(*keep, F.explode(hits).alias("_n")).select(
             F.col(f"_n.{name}").alias(name), *keep))
     ranked = reduce(DataFrame.unionByName, found).withColumn(
         "rank", F.row_number().over(Window.partitionBy(name).orderBy(*order)))
