@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("gold", "silver", "profile", "crop")
+SECTIONS = ("gold", "silver", "profile", "crop", "stats", "geo_text", "sources")
 
 
 def load():

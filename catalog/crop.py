@@ -255,7 +255,7 @@ FROM (SELECT place, crop,
       + {w["humidity"]} * pow((humidity - humidity_mean) / humidity_std, 2)
       + {w["ph"]} * pow((ph - ph_mean) / ph_std, 2))) AS s,
     season IS NULL OR list_contains(seasons, 'whole year') OR len(list_filter(seasons,
-      x -> contains(lower(season), x) OR contains(x, lower(season)))) > 0 AS ok
+      lambda x: contains(lower(season), x) OR contains(x, lower(season)))) > 0 AS ok
   FROM conditions CROSS JOIN params)""", "crop_silver", extra={**_PARAMS, **_CONDITIONS})
 
 

@@ -81,32 +81,33 @@ def cluster_indices(df: DataFrame, vector: str, cluster: str) -> DataFrame:
     centres = cluster_centres(df, vector, cluster)
     lookup = centres.agg(F.map_from_entries(
         F.collect_list(F.struct(cluster, "centre"))).alias("m")).scalar()
-    own = F.element_at(lookup, F.col(cluster))
     vec = F.transform(vector, lambda v: v.cast("double"))
-    d2 = df.select(F.col(cluster).alias("c"), squared_distance(vec, own).alias("d2"))
+    own = df.select(F.col(cluster).alias("c"), vec.alias("v"), lookup.alias("m")).select(
+        "c", "v", F.element_at("m", F.col("c")).alias("o"))
+    d2 = own.select("c", squared_distance(F.col("v"), F.col("o")).alias("d2"))
     per = d2.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum("d2").alias("w"),
                               F.avg(F.sqrt("d2")).alias("s"))
     joined = per.join(centres.select(F.col(cluster).alias("c"), "centre"), "c")
-    all_rows = joined.agg(F.collect_list(F.struct("c", "n", "w", "s", "centre")).alias("k"))
+    all_rows = joined.agg(F.collect_list(F.struct("c", "n", "w", "s", "centre")).alias("groups"))
 
     def total(field):
-        return F.aggregate("k", F.lit(0.0), lambda a, r: a + r[field].cast("double"))
+        return F.aggregate("groups", F.lit(0.0), lambda a, r: a + r[field].cast("double"))
 
-    dims = F.size(F.col("k")[0]["centre"])
+    dims = F.size(F.col("groups")[0]["centre"])
     n = total("n")
     grand = F.transform(F.sequence(F.lit(0), dims - 1), lambda i: F.aggregate(
-        "k", F.lit(0.0), lambda a, r: a + r["n"] * F.get(r["centre"], i)) / n)
-    between = F.aggregate("k", F.lit(0.0), lambda a, r: a + r["n"] * squared_distance(
+        "groups", F.lit(0.0), lambda a, r: a + r["n"] * F.get(r["centre"], i)) / n)
+    between = F.aggregate("groups", F.lit(0.0), lambda a, r: a + r["n"] * squared_distance(
         r["centre"], F.col("grand")))
-    groups = F.size("k")
-    worst = F.transform("k", lambda r: F.array_max(F.transform(
-        F.filter("k", lambda q: q["c"] != r["c"]),
+    k = F.size("groups")
+    worst = F.transform("groups", lambda r: F.array_max(F.transform(
+        F.filter("groups", lambda q: q["c"] != r["c"]),
         lambda q: F.try_divide(r["s"] + q["s"],
                                F.sqrt(squared_distance(r["centre"], q["centre"]))))))
     return all_rows.withColumn("grand", grand).select(
-        groups.alias("k"), total("w").alias("inertia"),
-        (between / (groups - 1) / (total("w") / (n - groups))).alias("calinski_harabasz"),
-        (F.aggregate(worst, F.lit(0.0), lambda a, x: a + x) / groups).alias("davies_bouldin"))
+        k.alias("k"), total("w").alias("inertia"),
+        (between / (k - 1) / (total("w") / (n - k))).alias("calinski_harabasz"),
+        (F.aggregate(worst, F.lit(0.0), lambda a, x: a + x) / k).alias("davies_bouldin"))
 
 
 def cluster_stats(pred: DataFrame, cluster: str = "cluster_id") -> DataFrame:

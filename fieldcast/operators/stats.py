@@ -104,8 +104,12 @@ def pair_report(df: DataFrame, cols: Sequence[str], watch: float = 0.80,
 
 
 def max_partner(pairs: DataFrame, value: str = "correlation") -> DataFrame:
-    """Strongest partner of each feature; the alphabetically first wins a tie."""
-    best = F.min(F.struct((-F.abs(F.col(value))).alias("a"), "feature_2")).alias("b")
+    """Strongest partner of each feature; the alphabetically first wins a tie.
+
+    Values are compared on twelve digits, so that noise in the last bits decides nothing.
+    """
+    size = F.round(F.abs(F.col(value)), 12)
+    best = F.min(F.struct((-size).alias("a"), "feature_2")).alias("b")
     return mirror(pairs).filter(F.col(value).isNotNull()).groupBy(
         F.col("feature_1").alias("feature")).agg(best).select(
         "feature", (-F.col("b.a")).alias("max_abs_correlation"),
