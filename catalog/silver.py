@@ -200,19 +200,19 @@ def flt_17(spark, sf):
 
 # ---------------------------------------------------------------- joins
 def _raw(spark, sf):
-    """Hourly rows with a city name of odd spelling; suppliers of ten keys share a name."""
+    """Hourly rows with a city name of odd spelling; two suppliers each share a name."""
     return X.weather(spark, sf).withColumn("city", F.concat(
-        F.lit(" STATION "), (F.col("city_id") % 10).cast("string"), F.lit(" "))).drop("city_id")
+        F.lit(" STATION "), F.floor(F.col("city_id") / 2).cast("string"), F.lit(" "))).drop("city_id")
 
 
 def _stations(spark, sf):
     return X.dim_city(spark, sf).withColumn("city_name", F.concat(
-        F.lit("Station "), (F.col("city_id") % 10).cast("string")))
+        F.lit("Station "), F.floor(F.col("city_id") / 2).cast("string")))
 
 
 _LOOKUP = {
-    "raw": "SELECT * EXCLUDE (city_id), city_id % 10 AS station FROM weather",
-    "lookup": "SELECT c.*, s.state_name, c.city_id % 10 AS station FROM dim_city c "
+    "raw": "SELECT * EXCLUDE (city_id), city_id // 2 AS station FROM weather",
+    "lookup": "SELECT c.*, s.state_name, c.city_id // 2 AS station FROM dim_city c "
               "JOIN dim_state s ON c.state_id = s.state_id",
 }
 

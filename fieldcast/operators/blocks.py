@@ -12,11 +12,18 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldcast.session import checkpoint
+
 BLOCK_ROWS = 5000
 
 
 def blocks(df: DataFrame, key: str, per_block: int = BLOCK_ROWS) -> list[DataFrame]:
-    """``df`` itself when it fits one block, else disjoint parts that together cover it."""
+    """``df`` itself when it fits one block, else disjoint parts that together cover it.
+
+    The rows are pinned, so that the count, the parts and every use of them agree and the
+    table is computed only once.
+    """
+    df = checkpoint(df)
     rows = df.count()
     parts = -(-rows // per_block)
     if parts <= 1:

@@ -13,6 +13,7 @@ from fieldcast.functions import scores as S
 from fieldcast.operators.blocks import BLOCK_ROWS, attach, blocks
 from fieldcast.operators.clean import clean_columns, clean_crop, rename_if_absent
 from fieldcast.operators.ranking import relative_to_max
+from fieldcast.session import checkpoint
 
 
 def crop_ml_features(crop: DataFrame) -> DataFrame:
@@ -116,6 +117,7 @@ def build_crop_weather_match(profile: DataFrame, crops: DataFrame, top: int = C.
     turned into rows, and nothing is shuffled unless the crops need several blocks.
     """
     feature_cols = [c for _, c, _ in features]
+    crops = checkpoint(crops)  # one row per crop, read for the spans and for the scores
     spans = feature_ranges(crops, feature_cols)
     span_row = spans.agg(F.first(F.struct(*[F.col(f"`span_{c}`") for c in feature_cols]))
                          .alias("s")).scalar()
@@ -133,7 +135,9 @@ def build_crop_weather_match(profile: DataFrame, crops: DataFrame, top: int = C.
         ranked = scored.withColumn("_levels", F.slice(levels, 1, top)).withColumn(
             "_best", F.filter("_scored", lambda s: F.array_contains("_levels", s["match_score"]))
         ).drop("_scored")
-        results.append(ranked.select("*", F.explode("_best").alias("_m")).withColumn(
+        # outer: a plain explode would test the array for rows first, scoring everything twice
+        results.append(ranked.select("*", F.explode_outer("_best").alias("_m")).filter(
+            F.col("_m.match_score").isNotNull()).withColumn(
             "crop_rank", F.array_position("_levels", F.col("_m.match_score")).cast("int")
         ).drop("_best", "_levels"))
     out = reduce(DataFrame.unionByName, results)
@@ -255,7 +259,9 @@ def predict_suitability(conditions: DataFrame, crops: DataFrame, recency: bool =
             "_s", F.transform("_s", scored))
         if top:
             arrays = arrays.withColumn("_s", F.slice(F.sort_array("_s", asc=False), 1, top))
-        results.append(arrays.select(*conditions.columns, F.inline("_s")))
+        # outer: a plain inline would test the array for rows first, scoring everything twice
+        results.append(arrays.select(*conditions.columns, F.inline_outer("_s")).filter(
+            F.col("crop").isNotNull()))
     out = reduce(DataFrame.unionByName, results)
     if top and len(parts) > 1:
         order = Window.partitionBy(*conditions.columns).orderBy(

@@ -9,13 +9,18 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+
+try:
+    import ahocorasick
+except ImportError:  # plain substring tests give the same matches
+    ahocorasick = None
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldcast import config as C
-from fieldcast.operators.blocks import attach, blocks
+from fieldcast.operators.blocks import blocks
 from fieldcast.operators.ranking import dedup_first
 
 
@@ -143,20 +148,43 @@ def similarity_topk(queries: DataFrame, items: DataFrame, k: int = 1,
         "rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def _name_finder(names: Sequence[str]) -> Callable[[pd.Series], pd.Series]:
+    """Function from texts to the lists of names they contain."""
+    lowered: dict[str, list[str]] = {}
+    for n in names:
+        lowered.setdefault(n.lower(), []).append(n)
+
+    def find(texts: pd.Series) -> pd.Series:
+        if ahocorasick is None:
+            def keys_in(t):
+                return [k for k in lowered if k in t]
+        else:
+            machine = ahocorasick.Automaton()
+            for k in lowered:
+                machine.add_word(k, k)
+            machine.make_automaton()
+
+            def keys_in(t):
+                return {k for _, k in machine.iter(t)}
+        return texts.map(lambda t: [n for k in keys_in(t.lower()) for n in lowered[k]] if t else [])
+
+    return find
+
+
 def keyword_topk(queries: DataFrame, chunks: DataFrame, k: int = 2, name: str = "crop_name",
                  text: str = "page_content", order: Sequence[str] = ("source", "position")
                  ) -> DataFrame:
     """First k chunks that contain each name, case-insensitively.
 
-    Names are tested inside an array, so only actual matches become rows.
+    The names are counted and cut into blocks; a block is sent to the tasks, which find
+    all its names in one pass over each text, so only actual matches become rows.
     """
-    keep = [c for c in chunks.columns]
+    keep = chunks.columns
     found = []
-    for part in blocks(queries.select(name).distinct(), name):
-        hits = F.filter("_n", lambda n: F.contains(F.lower(text), F.lower(n[name])))
-        named = attach(chunks, "_n", part, name)
-        found.append(named.select(*keep, F.explode(hits).alias("_n")).select(
-            F.col(f"_n.{name}").alias(name), *keep))
+    for part in blocks(queries.select(name).distinct().filter(F.length(name) > 0), name):
+        names = [r[0] for r in part.collect()]  # at most one block
+        matches = F.pandas_udf(_name_finder(names), "array<string>")
+        found.append(chunks.select(F.explode(matches(text)).alias(name), *keep))
     ranked = reduce(DataFrame.unionByName, found).withColumn(
         "rank", F.row_number().over(Window.partitionBy(name).orderBy(*order)))
     return ranked.filter(F.col("rank") <= k)

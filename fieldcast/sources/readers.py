@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# a missing path fails in analysis, a file of another format while its schema is read
+_UNREADABLE = (PySparkException, Py4JJavaError)
+
+
 def _attempt(spark: SparkSession, paths: Sequence[str], fmt: str) -> DataFrame:
     reader = spark.read
     if fmt == "csv":
@@ -23,8 +28,8 @@ def _first(candidates: Iterable, read: Callable[..., DataFrame], formats: Sequen
         for fmt in formats:
             try:
                 df = read(candidate, fmt)
-            except AnalysisException as err:  # missing path or unreadable schema
-                tried.append(f"{fmt}:{candidate} ({err.getCondition()})")
+            except _UNREADABLE as err:
+                tried.append(f"{fmt}:{candidate} ({type(err).__name__})")
                 continue
             if df.columns:
                 return df
@@ -89,7 +94,7 @@ def ingest_city_csv(spark: SparkSession, root: str, schema: str | None = None,
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     raw = reader.csv(root)
     kept = [c for c in raw.columns if c.lower() not in ("unnamed: 0", "_c0")]
-    rows = raw.select(*[F.col(f"`{c}`").alias(c.lstrip("﻿")) for c in kept],
+    rows = raw.select(*[F.col(f"`{c}`").alias(c.lstrip("\ufeff")) for c in kept],
                       F.col("_metadata.file_name").alias("_file"),
                       F.regexp_extract(F.url_decode(F.col("_metadata.file_path")),
                                        city_pattern, 1).alias("city"))
