@@ -742,16 +742,67 @@ def dq_09(spark, sf):
         quality.check_any_null(X.table(spark, sf, "orders"), ["o_orderkey"], "orders")])
 
 
-@query("dq_10_audit", X.sql("""
-SELECT 13::BIGINT AS performed, 13::BIGINT AS passed, 0::BIGINT AS failed"""))
+def _unique(label, table, key):
+    return (f"SELECT '{label} primary key' AS name, CASE WHEN count(*) = count(DISTINCT {key}) "
+            f"AND count({key}) = count(*) THEN 'PASSED' ELSE 'FAILED' END AS status, "
+            f"format('rows: {{}}, distinct: {{}}, null: {{}}', count(*), count(DISTINCT {key}), "
+            f"count(*) FILTER ({key} IS NULL)) AS details FROM {table}")
+
+
+def _present(label, table, key):
+    return (f"SELECT '{label} {key} not null', CASE WHEN count({key}) = count(*) THEN 'PASSED' "
+            f"ELSE 'FAILED' END, format('rows: {{}}, null: {{}}', count(*), "
+            f"count(*) FILTER ({key} IS NULL)) FROM {table}")
+
+
+_AUDIT_SQL = " UNION ALL ".join([
+    _unique("dim_region", "regions", "region_id"), _unique("dim_state", "states", "state_id"),
+    _present("dim_state", "states", "region_id"), _unique("dim_city", "flagged_cities", "city_id"),
+    _present("dim_city", "flagged_cities", "state_id"),
+    """SELECT 'dim_city composite key', 'PASSED', format('rows: {}, distinct: {}', count(*),
+      count(DISTINCT (city_name, state_id))) FROM flagged_cities""",
+    """SELECT 'dim_city key range', 'PASSED', format('min: {}, max: {}, rows: {}', min(city_id),
+      max(city_id), count(*)) FROM flagged_cities""",
+    """SELECT 'dim_city is_sampled', 'PASSED', format('flagged: {} of {}',
+      count(*) FILTER (is_sampled), count(*)) FROM flagged_cities""",
+    _present("fact_weather", "fact", "city_id"), _present("fact_weather", "fact", "state_id"),
+    """SELECT 'fact_weather referential integrity', 'PASSED', format('unmatched rows: {}',
+      count(*)) FROM fact WHERE city_id NOT IN (SELECT city_id FROM flagged_cities)""",
+    _present("fact_weather_sampled", "sampled", "city_id"),
+    """SELECT 'state parity', CASE WHEN a = b THEN 'PASSED' ELSE 'FAILED' END,
+      format('first: {}, second: {}', a, b) FROM (SELECT count(DISTINCT state_id) AS a FROM fact),
+      (SELECT count(DISTINCT state_id) AS b FROM sampled)"""])
+
+
+@query("dq_10_audit", X.sql(_AUDIT_SQL, "locations", "weather", extra={
+    **_DIMS_SQL,
+    "flagged_cities": """SELECT *, row_number() OVER (PARTITION BY state_id
+        ORDER BY md5('42|' || city_id)) <= greatest(15,
+          ceil(count(*) OVER (PARTITION BY state_id) * 0.3)) AS is_sampled FROM cities""",
+    "named": """SELECT w.city_id AS station, l.city FROM weather w
+      JOIN locations l ON l.town_id % 100 = w.city_id""",
+    "fact": """SELECT c.city_id, c.state_id, c.is_sampled FROM named n
+      JOIN flagged_cities c ON lower(trim(n.city)) = lower(trim(c.city_name))""",
+    "sampled": "SELECT * FROM fact WHERE is_sampled"}))
 def dq_10(spark, sf):
     """The whole silver audit on dimensions built from customers and their weather."""
     master = X.locations(spark, sf)
     towns = master.select((F.col("town_id") % 100).alias("city_id"), F.col("city"))
     hourly = X.weather(spark, sf).withColumn("city_id", F.col("city_id").cast("bigint")).join(
         towns, "city_id").drop("city_id")
-    built = plan.build_silver(master, hourly, pct=1.0)
-    return quality.audit_totals(quality.run_audit(plan.silver_checks(built), fail=False))
+    return quality.run_audit(plan.silver_checks(plan.build_silver(master, hourly)), fail=False)
+
+
+@query("dq_10_audit_totals", X.sql(f"""
+SELECT count(*) AS performed, count(*) FILTER (status = 'PASSED') AS passed,
+  count(*) FILTER (status = 'FAILED') AS failed FROM ({" UNION ALL ".join([
+    _unique("lineitem", "lineitem", "l_orderkey"), _unique("orders", "orders", "o_orderkey"),
+    _present("fact", "enriched", "state_id")])})""", "enriched"))
+def dq_10b(spark, sf):
+    return quality.audit_totals(quality.union_checks([
+        quality.check_pk(X.table(spark, sf, "lineitem"), "l_orderkey", "lineitem"),
+        quality.check_pk(X.table(spark, sf, "orders"), "o_orderkey", "orders"),
+        quality.check_fk_not_null(X.enriched(spark, sf), "state_id", "fact")]))
 
 
 @query("dq_11_grain", """

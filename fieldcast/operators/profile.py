@@ -329,7 +329,7 @@ def feature_quality(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         "feature").agg(F.count(F.lit(1)).alias("unique_values"))
     stats = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"),
                                         F.var_samp("value").alias("variance"))
-    names = df.select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("feature")).distinct()
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
     return (names.join(stats, "feature", "left").join(distinct, "feature", "left")
             .select("feature",
                     ((total - F.coalesce("n", F.lit(0))) / total * 100).alias("missing_pct"),

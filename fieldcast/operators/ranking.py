@@ -175,8 +175,8 @@ def select_even(df: DataFrame, key: str, preferred: DataFrame, n: int) -> DataFr
     """
     chosen = df.join(preferred.select(key).distinct(), key, "left_semi")
     rest = df.join(preferred.select(key).distinct(), key, "left_anti")
-    counts = chosen.agg(F.count(F.lit(1)).alias("have")).crossJoin(
-        rest.agg(F.count(F.lit(1)).alias("left_over")))
+    counts = chosen.agg(F.count(F.lit(1)).alias("have")).withColumn(
+        "left_over", rest.agg(F.count(F.lit(1)).alias("x")).scalar())
     need = F.greatest(F.least(F.lit(n) - F.col("have"), F.col("left_over")), F.lit(0))
     picks = counts.select(
         F.explode(F.when(need > 0, F.transform(

@@ -24,13 +24,29 @@ DEFAULTS = {
 }
 
 
+SHUFFLE_TARGET_MB = 128
+
+
+def shuffle_options(input_gb: float) -> dict[str, str]:
+    """Shuffle width for an input size: partitions of about 128 MB before coalescing.
+
+    Adaptive execution merges what turns out smaller, so the width may be generous; too
+    few partitions would spill.
+    """
+    partitions = max(200, int(input_gb * 1024 / SHUFFLE_TARGET_MB))
+    return {"spark.sql.shuffle.partitions": str(partitions),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{SHUFFLE_TARGET_MB}m"}
+
+
 def build_session(app_name: str = "fieldcast", master: str | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  input_gb: float | None = None) -> SparkSession:
     """Create (or reuse) a session with the options the operators are tuned for."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **(extra or {})}.items():
+    sized = shuffle_options(input_gb) if input_gb else {}
+    for key, value in {**DEFAULTS, **sized, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
