@@ -145,8 +145,8 @@ def txt_04b(spark, sf):
     parts = chunks(spark, sf).withColumn("item_id", F.concat_ws("/", "doc_id", "position"))
     wanted = X.table(spark, sf, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("page_content"))
-    items = text.embed(parts, features=256)
-    queries = text.embed(wanted, features=256, fit_on=parts)
+    weights = text.fit_weights(parts, features=256)
+    items, queries = text.embed(parts, weights=weights), text.embed(wanted, weights=weights)
     return text.similarity_topk(queries, items, k=1)
 
 

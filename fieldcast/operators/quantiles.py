@@ -29,12 +29,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     keys: Sequence[str] = ()) -> DataFrame:
     """Linear-interpolated quantiles per key, feature and probability.
 
-    A sketch brackets each quantile; one pass then counts the values below and above
-    the bracket and the distinct values inside it.  Only the bracket (a few
-    ten-thousandths of the group) is ordered, so no task ever sees a whole group, and
-    the answer is exact whatever the sketch returned.
+    A sketch brackets each quantile.  The brackets cut the value axis into cells: every
+    value inside a bracket is its own cell, the gaps between brackets are one cell each.
+    Counting the cells is a map-side combined aggregate; only the cells (a few
+    ten-thousandths of the values) are then ordered, so no task ever sees a whole group,
+    and the answer is exact whatever the sketch returned.
     """
     keys = list(keys)
+    probs = sorted({float(p) for p in probs})
     gap = 2.0 / _ACCURACY
     long = to_long(df, cols, keys)
     bounds = [b for p in probs for b in (max(p - gap, 0.0), min(p + gap, 1.0))]
@@ -42,46 +44,46 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx("value", bounds, _ACCURACY).alias("_bounds"))
 
-    tagged = null_safe_join(long, sketch, [*keys, "feature"], "inner").select(
-        *keys, "feature", "value", "n",
-        F.explode(F.array(*[
-            F.struct(F.lit(float(p)).alias("p"),
-                     _nudged(F.col("_bounds")[2 * i], -1).alias("lo"),
-                     _nudged(F.col("_bounds")[2 * i + 1], 1).alias("hi"))
-            for i, p in enumerate(probs)])).alias("b"))
-    side = F.when(F.col("value") < F.col("b.lo"), 0).when(
-        F.col("value") <= F.col("b.hi"), 1).otherwise(2)
-    counted = (
-        tagged.select(*keys, "feature", "n", F.col("b.p").alias("p"), "value",
-                      side.alias("_side"))
-        .withColumn("_value", F.when(F.col("_side") == 1, F.col("value")))
-        .groupBy(*keys, "feature", "n", "p", "_side", "_value")
+    joined = null_safe_join(long, sketch, [*keys, "feature"], "inner")
+    value = F.col("value")
+    passed = [(value > _nudged(F.col("_bounds")[2 * i + 1], 1)).cast("int")
+              for i in range(len(probs))]
+    ahead = [(value < _nudged(F.col("_bounds")[2 * i], -1)).cast("int")
+             for i in range(len(probs))]
+    in_gap = sum(ahead[1:], ahead[0]) + sum(passed[1:], passed[0]) == len(probs)
+    cells = (
+        joined.select(*keys, "feature", "n", "value", in_gap.alias("_gap"),
+                      sum(passed[1:], passed[0]).alias("_cell"))
+        .groupBy(*keys, "feature", "n", "_gap", "_cell",
+                 F.when(~F.col("_gap"), F.col("value")).alias("_exact"))
         .agg(F.count(F.lit(1)).alias("_count"), F.min("value").alias("_min"),
              F.max("value").alias("_max"))
     )
-    running = F.sum("_count").over(
-        Window.partitionBy(*keys, "feature", "p").orderBy("_side", "_value"))
-    position = F.col("p") * (F.col("n") - 1)
-    low = F.floor(position)
-
-    def value_at(index):
-        inside = (index >= F.col("_cum") - F.col("_count")) & (index < F.col("_cum"))
-        value = (
-            F.when(F.col("_side") == 1, F.col("_value"))
-            .when((F.col("_side") == 0) & (index == F.col("_cum") - 1), F.col("_max"))
-            .when((F.col("_side") == 2) & (index == F.col("_cum") - F.col("_count")),
-                  F.col("_min"))
-            .otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
-        )
-        return F.max(F.when(inside, value))
-
-    picked = counted.withColumn("_cum", running).groupBy(*keys, "feature", "n", "p").agg(
-        value_at(low).alias("_a"),
-        value_at(F.least(low + 1, F.col("n") - 1)).alias("_b"))
-    weight = F.col("p") * (F.col("n") - 1) - F.floor(F.col("p") * (F.col("n") - 1))
-    return picked.select(
-        *keys, "feature", "n", "p",
-        (F.col("_a") + (F.col("_b") - F.col("_a")) * weight).alias("value"))
+    upto = F.sum("_count").over(Window.partitionBy(*keys, "feature").orderBy("_min"))
+    placed = cells.withColumn("_upto", upto).withColumn(
+        "_before", F.col("_upto") - F.col("_count"))
+
+    def value_at(index: Column) -> Column:
+        # a neighbour of a bracket is the edge of the next gap
+        found = (
+            F.when(~F.col("_gap") | (index == F.col("_before")), F.col("_min"))
+            .when(index == F.col("_upto") - 1, F.col("_max"))
+            .otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double")))
+        return F.max(F.when((index >= F.col("_before")) & (index < F.col("_upto")), found))
+
+    picks = []
+    for i, p in enumerate(probs):
+        low = F.floor(F.lit(p) * (F.col("n") - 1))
+        picks += [value_at(low).alias(f"_a{i}"),
+                  value_at(F.least(low + 1, F.col("n") - 1)).alias(f"_b{i}")]
+    wide = placed.groupBy(*keys, "feature", "n").agg(*picks)
+    position = F.col("q.p") * (F.col("n") - 1)
+    return wide.select(*keys, "feature", "n", F.explode(F.array(*[
+        F.struct(F.lit(p).alias("p"), F.col(f"_a{i}").alias("a"), F.col(f"_b{i}").alias("b"))
+        for i, p in enumerate(probs)])).alias("q")).select(
+        *keys, "feature", "n", F.col("q.p").alias("p"),
+        (F.col("q.a") + (F.col("q.b") - F.col("q.a")) * (position - F.floor(position)))
+        .alias("value"))
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: dict[str, float],

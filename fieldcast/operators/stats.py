@@ -7,7 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldcast.functions.keys import finite
@@ -173,21 +173,24 @@ def mutual_information(df: DataFrame, features: Sequence[str], target: str,
     edges = exact_quantiles(clean, cols, [i / bins for i in range(1, bins)]).groupBy(
         "feature").agg(F.sort_array(F.collect_list("value")).alias("e"))
     packed = edges.agg(F.map_from_entries(F.collect_list(F.struct("feature", "e"))).alias("m"))
+    with_edges = clean.select(*cols, packed.scalar().alias("_m")).select(
+        *cols, *[F.element_at("_m", F.lit(c)).alias(f"_e_{c}") for c in cols])
 
     def bin_of(c: str) -> Column:
-        return F.size(F.filter(F.element_at("_edges", F.lit(c)), lambda e: e < F.col(c)))
+        above = [(F.get(f"_e_{c}", F.lit(i)) < F.col(c)).cast("int") for i in range(bins - 1)]
+        return sum(above[1:], above[0])
 
-    binned = clean.withColumn("_edges", packed.scalar()).select(
-        *[bin_of(c).alias(c) for c in cols])
+    binned = with_edges.select(*[bin_of(c).alias(c) for c in cols])
     wanted = [f for f in features if f != target]
     joint = binned.select(F.col(target).alias("y"), F.explode(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.col(f).alias("x")) for f in wanted])).alias("s")
     ).groupBy(F.col("s.feature").alias("feature"), F.col("s.x").alias("x"), "y").agg(
         F.count(F.lit(1)).alias("n"))
-    px = joint.groupBy("feature", "x").agg(F.sum("n").alias("nx"))
-    py = joint.groupBy("feature", "y").agg(F.sum("n").alias("ny"))
-    total = joint.groupBy("feature").agg(F.sum("n").alias("nt"))
-    all_counts = joint.join(px, ["feature", "x"]).join(py, ["feature", "y"]).join(total, "feature")
+
+    def total(*by: str) -> Column:  # at most bins * bins rows per feature
+        return F.sum("n").over(Window.partitionBy("feature", *by))
+
+    all_counts = joint.withColumns({"nx": total("x"), "ny": total("y"), "nt": total()})
     term = F.col("n") / F.col("nt") * F.log(
         F.col("n").cast("double") * F.col("nt") / (F.col("nx").cast("double") * F.col("ny")))
     return all_counts.groupBy("feature").agg(F.sum(term).alias("mutual_information")).withColumn(

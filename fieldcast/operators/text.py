@@ -14,7 +14,7 @@ try:
     import ahocorasick
 except ImportError:  # plain substring tests give the same matches
     ahocorasick = None
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
+from pyspark.ml.feature import IDF, HashingTF, IDFModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -86,21 +86,30 @@ def tokens(text: str | Column) -> Column:
     return F.filter(F.split(lowered, r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
+def _term_counts(df: DataFrame, text: str, features: int) -> DataFrame:
+    tf = HashingTF(numFeatures=features, inputCol="_tokens", outputCol="_tf")
+    return tf.transform(df.withColumn("_tokens", tokens(text)))
+
+
+def fit_weights(df: DataFrame, text: str = "page_content", features: int = 512) -> IDFModel:
+    """Term weights of a corpus, to embed it and its queries alike."""
+    return IDF(inputCol="_tf", outputCol="_idf").fit(
+        _term_counts(df.select(text), text, features).select("_tf"))
+
+
 def embed(df: DataFrame, text: str = "page_content", out: str = "embedding",
           model: Callable[[pd.Series], pd.Series] | None = None, features: int = 512,
-          fit_on: DataFrame | None = None) -> DataFrame:
+          weights: IDFModel | None = None) -> DataFrame:
     """Unit vectors as ``array<double>``.
 
-    Default is hashed TF-IDF (``fit_on`` gives the table the weights are learned from);
-    ``model`` may be any function from a batch of texts to a series of float lists.
+    Default is hashed TF-IDF (``weights`` from :func:`fit_weights`, else learned from
+    ``df``); ``model`` may be any function from a batch of texts to a series of float lists.
     """
     if model is not None:
         return df.withColumn(out, F.pandas_udf(model, "array<double>")(F.col(text)))
-    tf = HashingTF(numFeatures=features, inputCol="_tokens", outputCol="_tf")
-    idf = IDF(inputCol="_tf", outputCol="_idf")
-    train = df if fit_on is None else fit_on
-    weights = idf.fit(tf.transform(train.select(tokens(text).alias("_tokens"))))
-    counted = weights.transform(tf.transform(df.withColumn("_tokens", tokens(text))))
+    if weights is None:
+        weights = fit_weights(df, text, features)
+    counted = weights.transform(_term_counts(df, text, weights.idf.size))
     unit = Normalizer(inputCol="_idf", outputCol="_unit").transform(counted)
     return unit.withColumn(out, vector_to_array("_unit")).drop(
         "_tokens", "_tf", "_idf", "_unit")
