@@ -88,26 +88,34 @@ def date_bounds(rule: SeasonRule, year: str | Column = "season_year") -> tuple[C
     return _month_day(_col(year), rule.window_start), _month_day(_col(year), rule.window_end)
 
 
-def onset_condition(rules: Mapping[str, SeasonRule] = SEASON_RULES,
-                    season_by_window: bool = False) -> Column:
+def _onset_test(rule: SeasonRule, year: str) -> Column:
+    first, last = date_bounds(rule, year)
+    return (F.col("date").between(first, last)
+            & F.col("avg_temperature_2m").between(rule.temp_min, rule.temp_max)
+            & (F.col("daily_rain") >= rule.rain_min)
+            & F.col("avg_humidity").between(rule.humidity_min, rule.humidity_max))
+
+
+def onset_condition(rules: Mapping[str, SeasonRule] = SEASON_RULES) -> Column:
     """True on days that may start a season, False elsewhere (never NULL).
 
-    A day must lie in the search window and carry the season of its month;
-    ``season_by_window`` drops the second demand.
+    A day must lie in the search window and carry the season of its month.
     """
     hit = F.lit(False)
     for name, rule in rules.items():
-        first, last = date_bounds(rule, "year" if season_by_window else "season_year")
-        test = (
-            F.col("date").between(first, last)
-            & F.col("avg_temperature_2m").between(rule.temp_min, rule.temp_max)
-            & (F.col("daily_rain") >= rule.rain_min)
-            & F.col("avg_humidity").between(rule.humidity_min, rule.humidity_max)
-        )
-        hit = hit | (test if season_by_window else (F.col("season") == name) & test)
+        hit = hit | ((F.col("season") == name) & _onset_test(rule, "season_year"))
     return F.coalesce(hit, F.lit(False))
 
 
+def window_season(rules: Mapping[str, SeasonRule] = SEASON_RULES) -> Column:
+    """Season whose search window and ranges a day meets, whatever its month; else NULL."""
+    expr = None
+    for name, rule in rules.items():
+        test = _onset_test(rule, "year")
+        expr = F.when(test, name) if expr is None else expr.when(test, name)
+    return expr
+
+
 def month_cyclic(month: str | Column = "month") -> tuple[Column, Column]:
     """Sine and cosine of the month on a twelve-month circle, four digits."""
     angle = 2 * F.pi() * _col(month) / 12

@@ -16,14 +16,31 @@ _SPREAD = {"t": "avg_temperature_2m", "r": "daily_rain", "h": "avg_humidity"}
 
 
 def with_season(daily: DataFrame, season_by_window: bool = False) -> DataFrame:
-    """Season, season year, crops, official start and the onset flag per day."""
+    """Season, season year, crops, official start and the onset flag per day.
+
+    With ``season_by_window`` a day inside another season's search window also counts as
+    a candidate there: it gets a second row in that season, without measures, so that the
+    season's averages stay those of its own months.
+    """
     named = daily.withColumn("season", cal.season()).withColumn(
         "season_year", cal.season_year())
-    return named.withColumns({
-        "crop": cal.season_crop(),
-        "official_start_date": cal.official_start(),
-        "is_onset_candidate": cal.onset_condition(season_by_window=season_by_window),
-    })
+    if season_by_window:
+        other = cal.window_season()
+        own = F.struct(F.col("season"), F.col("season_year"),
+                       F.coalesce(other == F.col("season"), F.lit(False)).alias("hit"),
+                       F.lit(True).alias("own"))
+        extra = F.when(other != F.col("season"), F.struct(
+            other.alias("season"), F.col("year").alias("season_year"), F.lit(True).alias("hit"),
+            F.lit(False).alias("own")))
+        rows = named.withColumn("_s", F.explode(F.array_compact(F.array(own, extra))))
+        flagged = rows.withColumns({
+            "season": F.col("_s.season"), "season_year": F.col("_s.season_year"),
+            "is_onset_candidate": F.col("_s.hit"),
+            **{c: F.when(F.col("_s.own"), F.col(c)) for c in _SPREAD.values()}}).drop("_s")
+    else:
+        flagged = named.withColumn("is_onset_candidate", cal.onset_condition())
+    return flagged.withColumns({"crop": cal.season_crop(),
+                                "official_start_date": cal.official_start()})
 
 
 def stability_score(temp_sd: Column, rain_sd: Column, humidity_sd: Column) -> Column:

@@ -89,6 +89,18 @@ def test_onset_edges(spark):
                     "2020-06-15": True, "2020-06-16": False, "2020-06-02": False}
 
 
+def test_season_by_window_finds_early_onset(spark):
+    rows = [((2020, 5, 20), 28.0, 0.2, 80.0), ((2020, 7, 1), 25.0, 0.0, 50.0)]
+    out = {r["season"]: r for r in season.build_season_shift(
+        days(spark, rows), season_by_window=True).collect()}
+    assert out["Kharif"]["season_shift_days"] == -12
+    assert out["Kharif"]["avg_temperature"] == 25.0  # the May day stays out of the averages
+    assert out["Zaid"]["season_shift_days"] is None
+    assert out["Zaid"]["avg_temperature"] == 28.0
+    plain = {r["season"]: r for r in season.build_season_shift(days(spark, rows)).collect()}
+    assert plain["Kharif"]["season_shift_days"] is None
+
+
 def test_january_belongs_to_previous_season(spark):
     rows = [((2021, 1, 5), 22.0, 0.1, 60.0), ((2020, 10, 5), 22.0, 0.1, 60.0),
             ((2020, 10, 31), 22.0, 0.1, 60.0)]
