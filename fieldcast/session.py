@@ -25,15 +25,16 @@ DEFAULTS = {
 
 
 SHUFFLE_TARGET_MB = 128
+SHUFFLE_WIDTH_MAX = 40_000  # more reducers cost the driver more than spilling costs a task
 
 
 def shuffle_options(input_gb: float) -> dict[str, str]:
-    """Shuffle width for an input size: partitions of about 128 MB before coalescing.
+    """Shuffle width for an input size: about 128 MB per partition, within limits.
 
-    Adaptive execution merges what turns out smaller, so the width may be generous; too
-    few partitions would spill.
+    The operators combine before they shuffle, so the exchanged data is a fraction of the
+    input, and adaptive execution merges what turns out small.
     """
-    partitions = max(200, int(input_gb * 1024 / SHUFFLE_TARGET_MB))
+    partitions = min(max(200, int(input_gb * 1024 / SHUFFLE_TARGET_MB)), SHUFFLE_WIDTH_MAX)
     return {"spark.sql.shuffle.partitions": str(partitions),
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{SHUFFLE_TARGET_MB}m"}
 
