@@ -33,7 +33,7 @@ from fieldcast.llm import common
 
 PROJECTIONS = 128
 AGREE = 0.6
-BUDGET = 0.08
+BUDGET = 0.12
 FIRST_WIDTH = 0.5  # half width of the first windows, in standard deviations of a projection
 WIDEN = 1.15
 SHARD_ROWS = 8192

@@ -101,22 +101,30 @@ def build_dictionary(samples: list[bytes], size: int = DICT_BYTES) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def calibrate(rows: np.ndarray, labels: np.ndarray, penalty: float = 1e-3) -> np.ndarray:
-    """Logistic regression by Newton steps; inputs are scaled inside."""
+def calibrate(rows: np.ndarray, labels: np.ndarray, penalty: float = 1e-5) -> np.ndarray:
+    """Logistic regression by damped Newton steps; inputs are scaled inside."""
     mean, scale = rows.mean(0), rows.std(0)
     mean[0], scale[0] = 0.0, 1.0
     scale[scale < 1e-12] = 1.0
     x = (rows - mean) / scale
     w = np.zeros(x.shape[1])
     ridge = np.full(x.shape[1], penalty * len(x))
-    ridge[0] = 1e-9
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    ridge[0] = 1e-3
+
+    def loss(v: np.ndarray) -> float:
+        margin = x @ v
+        return float((np.logaddexp(0, margin) - labels * margin).sum() + (ridge * v * v).sum() / 2)
+
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
         grad = x.T @ (p - labels) + ridge * w
-        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-9)
-        step = np.linalg.solve(curve, grad)
-        w = w - step
-        if np.abs(step).max() < 1e-8:
+        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge)
+        step, now = np.linalg.solve(curve, grad), loss(w)
+        rate = 1.0
+        while rate > 1e-6 and loss(w - rate * step) > now:
+            rate /= 2
+        w = w - rate * step
+        if np.abs(rate * step).max() < 1e-8:
             break
     out = w / scale
     out[0] = w[0] - (w[1:] * mean[1:] / scale[1:]).sum()

@@ -213,40 +213,47 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node and root (the smallest node of its component), for every linked node but the roots.
+    """node and root (one node of its component), for every linked node but the roots.
 
-    Each round replaces every end of a link by the smallest node it sees; links inside one
-    node drop out.  What a node was replaced by is kept and followed up to its root.
+    Each round points every node at the neighbour that hashes lowest, if that is lower than the
+    node itself; the hash changes with the round, so that chains of pointers are short whatever
+    the links look like.  Pointers are followed to their ends, links move to the ends, and links
+    inside one node drop out; at least half of the linked nodes go in each round.
     """
     live = common.pinned(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                          .where("a < b").distinct())
-    steps: list[DataFrame] = []
+    roots = None
+    turn = 0
     while not live.isEmpty():
         both = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = both.groupBy("a").agg(F.min("b").alias("low"))
-        # nodes that see a smaller one move to it; the smallest around stay
-        moved = lowest.select(F.col("a").alias("node"), F.least("a", "low").alias("up"))
-        up = common.pinned(moved)
-        # follow one step more, so that chains shorten quickly
-        twice = up.alias("x").join(up.alias("y"), F.col("x.up") == F.col("y.node"), "left").select(
-            F.col("x.node").alias("node"), F.coalesce("y.up", "x.up").alias("up"))
-        step = common.pinned(twice)
-        steps.append(step.where("node <> up"))
+        low = F.min(F.struct(F.xxhash64(F.lit(turn), "b").alias("h"), "b"))
+        here = F.struct(F.xxhash64(F.lit(turn), "a").alias("h"), F.col("a").alias("b"))
+        up = common.pinned(both.groupBy("a").agg(low.alias("low")).select(
+            F.col("a").alias("node"), F.least(here, "low")["b"].alias("up")))
+        moved = True
+        while moved:
+            after = common.pinned(up.alias("x").join(
+                up.alias("y"), F.col("x.up") == F.col("y.node")).select(
+                F.col("x.node").alias("node"), F.col("y.up").alias("up"),
+                (F.col("x.up") != F.col("y.up")).alias("moved")))
+            moved = not after.where("moved").isEmpty()
+            up = after.select("node", "up")
+        step = up.where("node <> up")
+        if roots is None:
+            roots = step.withColumnRenamed("up", "root")
+        else:
+            roots = roots.join(step, F.col("root") == F.col("node"), "left").select(
+                roots["node"], F.coalesce("up", "root").alias("root")).unionByName(
+                step.withColumnRenamed("up", "root"))
+        roots = common.pinned(roots)
         live = common.pinned(
-            live.join(step.select(F.col("node").alias("a"), F.col("up").alias("a2")), "a", "left")
-            .join(step.select(F.col("node").alias("b"), F.col("up").alias("b2")), "b", "left")
-            .select(F.coalesce("a2", "a").alias("x"), F.coalesce("b2", "b").alias("y"))
+            live.join(up.select(F.col("node").alias("a"), F.col("up").alias("x")), "a")
+            .join(up.select(F.col("node").alias("b"), F.col("up").alias("y")), "b")
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
             .where("a < b").distinct())
-    if not steps:
-        return edges.select(F.col("a").alias("node"), F.col("a").alias("root")).limit(0)
-    roots = steps[-1].select("node", F.col("up").alias("root"))
-    for step in reversed(steps[:-1]):
-        # nodes of earlier rounds take the root of what they moved to
-        carried = step.alias("s").join(roots.alias("r"), F.col("s.up") == F.col("r.node"),
-                                       "left").select(
-            F.col("s.node").alias("node"), F.coalesce("r.root", "s.up").alias("root"))
-        roots = common.pinned(roots.unionByName(carried))
+        turn += 1
+    if roots is None:
+        return live.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots
 
 

@@ -6,8 +6,7 @@ with t_1 < t_2 < t_3.  Expected severity is the sum of these probabilities; a do
 as toxic if P(grade >= 1) reaches `TOXIC`.
 
 Grades.  Labels may carry grades themselves (0 upwards).  From labels 0 and 1 alone, documents
-labelled 1 are graded 1 to 3 by thirds of their evidence density: summed positive log-odds of
-their features, per distinct word.
+labelled 1 are graded 1 to 3 by thirds of their evidence, the summed log-odds of their features.
 
 Fitting uses at most `SAMPLE_ROWS` labelled documents (those whose ids hash lowest): Spark
 counts features per class there, the `MAX_FEATURES` with the clearest log-odds are kept, and the
@@ -35,11 +34,12 @@ from fieldcast.llm import common, labelled
 SAMPLE_ROWS = 12_000
 MAX_FEATURES = 4096
 MIN_DOCS = 3
-MIN_Z = 3.0
-TOXIC = 0.5
+MIN_ODDS = 2.0  # log-odds: seven times as frequent in toxic documents
+MIN_Z = 4.5  # among a million features chance alone passes this a few times
+TOXIC = 0.3
 GRADES = 3
 SEED = 4
-PENALTY = 3e-4
+PENALTY = 1e-5
 STEPS = 400
 _WORD = re.compile(r"\w+")
 _CACHE = 200_000
@@ -108,13 +108,17 @@ def feature_counts(rows: DataFrame) -> DataFrame:
 
 
 def select(counts: DataFrame, pos: int, neg: int, most: int = MAX_FEATURES) -> dict[str, float]:
-    """Log-odds of the features that tell the classes apart most clearly."""
+    """Log-odds of the features that speak for the toxic class most clearly.
+
+    Only such features are kept: a long text has many features that lean the other way a
+    little, and they would outvote its few toxic words.
+    """
     a, b = F.col("pos") + 0.5, F.col("neg") + 0.5
     odds = F.log(a / (pos + 1.0 - F.col("pos") + 0.5)) - F.log(b / (neg + 1.0 - F.col("neg") + 0.5))
     z = odds / F.sqrt(1 / a + 1 / b)
     top = (counts.where(F.col("pos") + F.col("neg") >= MIN_DOCS).select(
-        "feature", odds.alias("odds"), z.alias("z")).where(F.abs("z") >= MIN_Z)
-        .orderBy(F.desc(F.abs("z")), "feature").limit(most).collect())
+        "feature", odds.alias("odds"), z.alias("z")).where((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS))
+        .orderBy(F.desc("z"), "feature").limit(most).collect())
     return {r.feature: r.odds for r in top}
 
 
@@ -154,6 +158,8 @@ def ordinal_fit(rows: list[np.ndarray], grades: np.ndarray, width: int, penalty:
         rate = 0.05 * (1 - 0.9 * step / steps)
         params = params - rate * (mean / (1 - 0.9**step)) / (
             np.sqrt(var / (1 - 0.999**step)) + 1e-8)
+        # every feature was picked as evidence for the toxic class, so none may speak against it
+        params[:width] = np.maximum(params[:width], 0)
     gaps = np.exp(params[width + 1:])
     return params[:width], params[width] + np.concatenate([[0.0], np.cumsum(gaps)])
 
@@ -162,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SA
         text: str = "text", doc_id: str = "doc_id", seed: int = SEED) -> Model:
     """Model learned from labelled documents that are not held out."""
     sample = common.pinned(labelled.sample(docs, labels, label, rows, seed, text, doc_id)
-                           .repartition("doc_id"))
+                           .dropDuplicates(["text"]).repartition("doc_id"))
     size = {r.c: r.n for r in sample.groupBy((F.col("label") > 0).alias("c"))
             .agg(F.count("*").alias("n")).collect()}
     if not size.get(True) or not size.get(False):
@@ -174,26 +180,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
-            got = [(sorted(number[f] for f in picker.features(t)),
-                    len(set(_WORD.findall(t.lower())))) for t in common.strings(batch.column(1))]
+            got = [sorted(number[f] for f in picker.features(t))
+                   for t in common.strings(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([g[0] for g in got],
-                                                            pa.list_(pa.int32())),
-                 pa.array([g[1] for g in got], pa.int64())],
-                names=["doc_id", "label", "at", "words"])
+                [batch.column(0), batch.column(2), pa.array(got, pa.list_(pa.int32()))],
+                names=["doc_id", "label", "at"])
 
     # bounded by the sample: at most `rows` short lists of feature numbers
-    table = sample.mapInArrow(run, "doc_id long, label int, at array<int>, words long").toArrow()
+    table = sample.mapInArrow(run, "doc_id long, label int, at array<int>").toArrow()
     order = np.argsort(table["doc_id"].to_numpy(), kind="stable")
     lists = [np.array(x, np.int64) for x in table["at"].to_pylist()]
     lists = [lists[i] for i in order]
     grade = table["label"].to_numpy()[order].astype(np.int64)
     if grade.max() == 1:
         value = np.array([odds[n] for n in names]).clip(0)
-        words = table["words"].to_numpy()[order]
-        density = np.array([value[x].sum() for x in lists]) / (words + 20)
-        cuts = np.quantile(density[grade > 0], [1 / GRADES * i for i in range(1, GRADES)])
-        grade = np.where(grade > 0, 1 + np.searchsorted(cuts, density, "left"), 0)
+        evidence = np.array([value[x].sum() for x in lists])
+        cuts = np.quantile(evidence[grade > 0], [1 / GRADES * i for i in range(1, GRADES)])
+        grade = np.where(grade > 0, 1 + np.searchsorted(cuts, evidence, "left"), 0)
     # grades without any document would leave a threshold undefined
     grade = np.unique(grade, return_inverse=True)[1]
     weights, thresholds = ordinal_fit(lists, grade, len(names))
@@ -201,12 +204,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SA
 
 
 def grade_of(chances: np.ndarray) -> int:
-    """The highest grade that is reached with even chance."""
+    """The highest grade whose chance reaches `TOXIC`."""
     return int((chances >= TOXIC).sum())
 
 
 def score(df: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, expected severity, most likely grade and toxic of every document."""
+    """doc_id, expected severity, grade and toxic of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
             chances = [model.at_least(t) for t in common.strings(batch.column(1))]
