@@ -84,7 +84,10 @@ def allot(first: np.ndarray, last: np.ndarray, cuts: np.ndarray, rule: str) -> n
 
 def covering(given: list[dict] | None, size: int) -> tuple[np.ndarray, list[tuple]]:
     """Cuts and (index, name, start, end) of given spans and the places between them."""
-    spans = sorted((max(0, s["start"] or 0), min(size, size if s["end"] is None else s["end"]), i)
+    def cut(at: int | None, missing: int) -> int:
+        return min(size, max(0, missing if at is None else at))
+
+    spans = sorted((cut(s["start"], 0), cut(s["end"], size), i)
                    for i, s in enumerate(given or []) if s is not None)
     parts, at = [], 0
     for start, end, i in spans:

@@ -152,7 +152,8 @@ def read(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame:
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = ends.select("part", F.coalesce(F.sum("size").over(order), F.lit(0)).alias("base"))
     columns = ["doc_id", "start", "n_tokens", *(["ids"] if ids else [])]
-    return (files.join(base, "part")
+    # no more rows than the writing stage had tasks, so the broadcast is small at any corpus size
+    return (files.join(F.broadcast(base), "part")
             .withColumn("start", F.col("base") + F.col("local_start")).select(*columns))
 
 
