@@ -296,7 +296,7 @@ def keep_first(df: DataFrame, words: int = WORDS, radius: int = RADIUS, text: st
     winners = (nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
                .groupBy(F.coalesce("root", "fp").alias("root"))
                .agg(F.min(F.struct(F.col("first").isNull().alias("last"), "first", "fp"))
-                    .alias("w")).select("w.first", F.col("w.fp").alias("winner")))
+                    .alias("w")))
 
     @F.pandas_udf("long")
     def fp_of(values):
@@ -305,8 +305,9 @@ def keep_first(df: DataFrame, words: int = WORDS, radius: int = RADIUS, text: st
         return pd.Series(np.array([fingerprint(v or "", words) for v in values],
                                   np.uint64).view(np.int64))
 
-    name = common.own_name(df, "fp")
+    name, first, fp = (common.own_name(df, n) for n in ("fp_of_text", "first_id", "first_fp"))
+    winners = winners.select(F.col("w.first").alias(first), F.col("w.fp").alias(fp))
     key = F.col(doc_id).cast("long")
     kept = df.withColumn(name, fp_of(F.col(text))).join(
-        winners, F.col("first").eqNullSafe(key) & (F.col("winner") == F.col(name)), "leftsemi")
+        winners, F.col(first).eqNullSafe(key) & (F.col(fp) == F.col(name)), "leftsemi")
     return kept.dropDuplicates([doc_id, name]).select(*df.columns)
