@@ -242,8 +242,9 @@ def components(edges: DataFrame) -> DataFrame:
         if roots is None:
             roots = step.withColumnRenamed("up", "root")
         else:
-            roots = roots.join(step, F.col("root") == F.col("node"), "left").select(
-                roots["node"], F.coalesce("up", "root").alias("root")).unionByName(
+            later = step.select(F.col("node").alias("was"), "up")
+            roots = roots.join(later, F.col("root") == F.col("was"), "left").select(
+                "node", F.coalesce("up", "root").alias("root")).unionByName(
                 step.withColumnRenamed("up", "root"))
         roots = common.pinned(roots)
         live = common.pinned(
