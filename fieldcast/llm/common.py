@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldcast.session import checkpoint
+from fieldcast.session import scratch_dir
 
 #: Rows that Spark hands to Python at once; long texts make larger batches, see `small_batches`.
 BATCH_ROWS = 256
@@ -51,8 +51,15 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS,
 
 
 def pinned(df: DataFrame) -> DataFrame:
-    """Write to the shared checkpoint folder and read on from there."""
-    return checkpoint(df)
+    """Write to the shared checkpoint folder as Parquet and read on from there.
+
+    Files instead of ``checkpoint()``: a checkpointed frame hands its inferred constraints on,
+    and in a loop of joins they double with every round until planning never ends.
+    """
+    spark = df.sparkSession
+    folder = f"{scratch_dir(spark).rstrip('/')}/pinned/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def own_name(df: DataFrame, stem: str) -> str:

@@ -14,8 +14,8 @@ of a spanning forest of its pairs only, never all pairs of a group.
 The number of blocks that must agree grows with the number of fingerprints (`plan_blocks`), so
 that groups stay small at any size; the pairs found are the same.
 
-Components: links are contracted in rounds (every node takes the smallest node it sees, with
-pointer jumping), each round written to the checkpoint folder.
+Components: links are contracted in rounds over the cluster, each round written to the checkpoint
+folder, until few enough are left for one task (`TASK_LINKS`).
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any others; fewer
 words than a shingle has: the whole sequence; repeated rows and ids share a component; a null id
@@ -39,6 +39,8 @@ WORDS = 4
 RADIUS = 4
 SEED = 42
 TILE = 4096
+#: Links that one task may resolve (about 100 MB there).
+TASK_LINKS = 500_000
 #: Mean rows per group above which one more block must agree.
 GROUP_ROWS = 2048
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -212,32 +214,66 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
                                       names=["a", "b"])
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _point(live: DataFrame, turn: int) -> DataFrame:
+    """node and up: every node follows the neighbours that hash lower to the end.
+
+    The hash changes with the turn, so that chains of pointers are short whatever the links
+    look like; about half of the linked nodes or more move.
+    """
+    both = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    low = F.min(F.struct(F.xxhash64(F.lit(turn), "b").alias("h"), "b"))
+    here = F.struct(F.xxhash64(F.lit(turn), "a").alias("h"), F.col("a").alias("b"))
+    up = common.pinned(both.groupBy("a").agg(low.alias("low")).select(
+        F.col("a").alias("node"), F.least(here, "low")["b"].alias("up")))
+    moved = True
+    while moved:
+        after = common.pinned(up.alias("x").join(
+            up.alias("y"), F.col("x.up") == F.col("y.node")).select(
+            F.col("x.node").alias("node"), F.col("y.up").alias("up"),
+            (F.col("x.up") != F.col("y.up")).alias("moved")))
+        moved = not after.where("moved").isEmpty()
+        up = after.select("node", "up")
+    return up
+
+
+def _finish(live: DataFrame) -> DataFrame:
+    """node and up of a bounded number of links, by union-find in one task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict[int, int] = {}
+
+        def root(at: int) -> int:
+            while up[at] != at:
+                up[at] = up[up[at]]
+                at = up[at]
+            return at
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                up.setdefault(a, a)
+                up.setdefault(b, b)
+                x, y = root(a), root(b)
+                up[max(x, y)] = min(x, y)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(up), pa.int64()), pa.array([root(n) for n in up], pa.int64())],
+            names=["node", "up"])
+
+    return common.pinned(live.select("a", "b").repartition(1).mapInArrow(
+        run, "node long, up long"))
+
+
+def components(edges: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
     """node and root (one node of its component), for every linked node but the roots.
 
-    Each round points every node at the neighbour that hashes lowest, if that is lower than the
-    node itself; the hash changes with the round, so that chains of pointers are short whatever
-    the links look like.  Pointers are followed to their ends, links move to the ends, and links
-    inside one node drop out; at least half of the linked nodes go in each round.
+    Rounds over the whole cluster move nodes to neighbours, links to where their nodes went, and
+    drop links inside one node, until at most ``task_links`` links are left, which one task
+    resolves.  Either way gives the same components.
     """
     live = common.pinned(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                          .where("a < b").distinct())
-    roots = None
-    turn = 0
-    while not live.isEmpty():
-        both = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = F.min(F.struct(F.xxhash64(F.lit(turn), "b").alias("h"), "b"))
-        here = F.struct(F.xxhash64(F.lit(turn), "a").alias("h"), F.col("a").alias("b"))
-        up = common.pinned(both.groupBy("a").agg(low.alias("low")).select(
-            F.col("a").alias("node"), F.least(here, "low")["b"].alias("up")))
-        moved = True
-        while moved:
-            after = common.pinned(up.alias("x").join(
-                up.alias("y"), F.col("x.up") == F.col("y.node")).select(
-                F.col("x.node").alias("node"), F.col("y.up").alias("up"),
-                (F.col("x.up") != F.col("y.up")).alias("moved")))
-            moved = not after.where("moved").isEmpty()
-            up = after.select("node", "up")
+    roots, turn, left = None, 0, live.count()
+    while left:
+        last = left <= task_links
+        up = _finish(live) if last else _point(live, turn)
         step = up.where("node <> up")
         if roots is None:
             roots = step.withColumnRenamed("up", "root")
@@ -247,12 +283,14 @@ def components(edges: DataFrame) -> DataFrame:
                 "node", F.coalesce("up", "root").alias("root")).unionByName(
                 step.withColumnRenamed("up", "root"))
         roots = common.pinned(roots)
+        if last:
+            break
         live = common.pinned(
             live.join(up.select(F.col("node").alias("a"), F.col("up").alias("x")), "a")
             .join(up.select(F.col("node").alias("b"), F.col("up").alias("y")), "b")
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
             .where("a < b").distinct())
-        turn += 1
+        turn, left = turn + 1, live.count()
     if roots is None:
         return live.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots
