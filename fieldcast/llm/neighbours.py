@@ -34,9 +34,9 @@ from fieldcast.llm import common
 PROJECTIONS = 128
 AGREE = 0.6
 BUDGET = 0.12
-FIRST_WIDTH = 0.5  # half width of the first windows, in standard deviations of a projection
-WIDEN = 1.15
-SHARD_ROWS = 8192
+FIRST_WIDTH = 0.7  # half width of the first windows, in standard deviations of a projection
+WIDEN = 1.35
+SHARD_ROWS = 16_384
 BLOCK_ROWS = 2048
 SEED = 17
 
@@ -134,8 +134,6 @@ def search(df: DataFrame, queries: DataFrame, k: int = 5, vector: str = "embeddi
     rows, asked = narrow(df), narrow(queries)
     shards = max(1, math.ceil(rows.count() / shard_rows))
     blocks = max(1, math.ceil(asked.count() / block_rows))
-    # ids deal rows out evenly; repeated ids of a hot row are told apart by a random salt that
-    # depends on the row's place only
     shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
     block = F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(blocks)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
