@@ -114,7 +114,7 @@ def build_crop_weather_match(profile: DataFrame, crops: DataFrame, top: int = C.
 
     ``crops`` carries the feature and weight columns.  Ties share a rank, so more than
     ``top`` rows may stay.  Scores are made inside an array; only the winners are
-    turned into rows, and nothing is shuffled unless the crops need several blocks.
+    turned into rows, and nothing is shuffled.
     """
     feature_cols = [c for _, c, _ in features]
     crops = checkpoint(crops)  # one row per crop, read for the spans and for the scores
@@ -122,29 +122,23 @@ def build_crop_weather_match(profile: DataFrame, crops: DataFrame, top: int = C.
     span_row = spans.agg(F.first(F.struct(*[F.col(f"`span_{c}`") for c in feature_cols]))
                          .alias("s")).scalar()
     spanned = crops.withColumns({f"span_{c}": span_row[f"span_{c}"] for c in feature_cols})
-    parts = blocks(spanned, "Crop", per_block)
-    results = []
-    for part in parts:
-        with_array = attach(profile, "_crops", part,
-                            *[F.col(f"`{c}`") for c in spanned.columns])
-        scored = with_array.withColumn("_scored", F.transform("_crops", lambda c: F.struct(
-            _match_score(c, features).alias("match_score"), c.alias("crop")))).drop("_crops")
+    ranked = profile
+    for i, part in enumerate(blocks(spanned, "Crop", per_block)):
+        ranked = attach(ranked, "_crops", part, *[F.col(f"`{c}`") for c in spanned.columns])
+        more = F.transform("_crops", lambda c: F.struct(
+            _match_score(c, features).alias("match_score"), c.alias("crop")))
+        ranked = ranked.withColumn("_scored", F.concat("_best", more) if i else more)
         # descending distinct scores; the position of a score is its dense rank
         levels = F.sort_array(F.array_distinct(F.transform("_scored", lambda s: s["match_score"])),
                               asc=False)
-        ranked = scored.withColumn("_levels", F.slice(levels, 1, top)).withColumn(
+        ranked = ranked.withColumn("_levels", F.slice(levels, 1, top)).withColumn(
             "_best", F.filter("_scored", lambda s: F.array_contains("_levels", s["match_score"]))
-        ).drop("_scored")
-        # outer: a plain explode would test the array for rows first, scoring everything twice
-        results.append(ranked.select("*", F.explode_outer("_best").alias("_m")).filter(
-            F.col("_m.match_score").isNotNull()).withColumn(
-            "crop_rank", F.array_position("_levels", F.col("_m.match_score")).cast("int")
-        ).drop("_best", "_levels"))
-    out = reduce(DataFrame.unionByName, results)
-    if len(parts) > 1:
-        place = Window.partitionBy(*keys).orderBy(F.desc("_m.match_score"))
-        out = out.withColumn("crop_rank", F.dense_rank().over(place)).filter(
-            F.col("crop_rank") <= top)
+        ).drop("_scored", "_crops")
+    # outer: a plain explode would test the array for rows first, scoring everything twice
+    out = ranked.select("*", F.explode_outer("_best").alias("_m")).filter(
+        F.col("_m.match_score").isNotNull()).withColumn(
+        "crop_rank", F.array_position("_levels", F.col("_m.match_score")).cast("int")
+    ).drop("_best", "_levels")
     crop = {"crop_avg_temperature_c": "Temperature_C", "crop_avg_humidity_pct": "Humidity_%",
             "crop_avg_rainfall_mm": "Rainfall_mm", "crop_avg_wind_speed_ms": "Wind_Speed_m_s"}
     weather = ("avg_temperature_2m", "avg_humidity", "season_rainfall", "avg_wind_speed_10m")
@@ -252,23 +246,19 @@ def predict_suitability(conditions: DataFrame, crops: DataFrame, recency: bool =
             crop["k_req"].alias("k_req"),
             F.round(crop["avg_yield"], 1).alias("avg_yield_kg_ha"))
 
-    parts = blocks(crops, "crop", per_block)
-    results = []
-    for part in parts:
-        arrays = attach(conditions, "_s", part, *crops.columns).withColumn(
-            "_s", F.transform("_s", scored))
+    # block after block inside the row: what is best so far is merged with the next block, so
+    # equal conditions stay rows of their own and a row holds `top` entries and one block
+    arrays = conditions.withColumn("_s", F.lit(None))
+    for i, part in enumerate(blocks(crops, "crop", per_block)):
+        arrays = attach(arrays, "_block", part, *crops.columns)
+        more = F.transform("_block", scored)
+        more = F.concat("_s", more) if i else more
         if top:
-            arrays = arrays.withColumn("_s", F.slice(F.sort_array("_s", asc=False), 1, top))
-        # outer: a plain inline would test the array for rows first, scoring everything twice
-        results.append(arrays.select(*conditions.columns, F.inline_outer("_s")).filter(
-            F.col("crop").isNotNull()))
-    out = reduce(DataFrame.unionByName, results)
-    if top and len(parts) > 1:
-        order = Window.partitionBy(*conditions.columns).orderBy(
-            F.desc("suitability_score"), F.desc("crop"))
-        out = out.withColumn("_r", F.row_number().over(order)).filter(
-            F.col("_r") <= top).drop("_r")
-    return out
+            more = F.slice(F.sort_array(more, asc=False), 1, top)
+        arrays = arrays.withColumn("_s", more).drop("_block")
+    # outer: a plain inline would test the array for rows first, scoring everything twice
+    return arrays.select(*conditions.columns, F.inline_outer("_s")).filter(
+        F.col("crop").isNotNull())
 
 
 def recency_climate(series: DataFrame, keys: Sequence[str] = ("state", "season"),
@@ -276,17 +266,20 @@ def recency_climate(series: DataFrame, keys: Sequence[str] = ("state", "season")
                     decay: float | None = C.RECENCY_DECAY) -> DataFrame:
     """Climate per key with weights decay^(latest year - year); None weighs years alike.
 
+    A missing measure has no weight in its own mean.
+
     The weights only matter relative to each other, so they are taken against a common
     year found per key from one small aggregate of years.
     """
     keys = list(keys)
     per_year = series.groupBy(*keys, "year").agg(
-        *[F.sum(m).alias(f"_s_{m}") for m in measures], F.count(F.lit(1)).alias("_n"))
+        *[x for m in measures for x in (F.sum(m).alias(f"_s_{m}"), F.count(m).alias(f"_n_{m}"))])
     latest = F.max("year").over(Window.partitionBy(*keys))  # a few dozen years per key
     w = F.lit(1.0) if decay is None else F.pow(F.lit(decay), (latest - F.col("year")))
     weighted = per_year.withColumn("_w", w)
     return weighted.groupBy(*keys).agg(*[
-        F.round(F.sum(F.col(f"_s_{m}") * F.col("_w")) / F.sum(F.col("_n") * F.col("_w")), 1)
+        F.round(F.try_divide(F.sum(F.col(f"_s_{m}") * F.col("_w")),
+                             F.sum(F.col(f"_n_{m}") * F.col("_w"))), 1)
         .alias(m) for m in measures])
 
 

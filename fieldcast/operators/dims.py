@@ -82,28 +82,17 @@ def parity(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
         .when(F.col("_in_a").isNull(), "missing in first").otherwise("both").alias("status"))
 
 
-def city_lists(df: DataFrame, group: str = "state", member: str = "city",
-               per_list: int = 10000) -> DataFrame:
-    """Sorted member lists per group, cut into parts of about ``per_list`` members.
+def city_lists(df: DataFrame, group: str = "state", member: str = "city") -> DataFrame:
+    """Members of each group, one row each, with the group's number of members.
 
-    An ordinary state fits in one part; a huge one is spread over several rows so
-    that no task has to build an unbounded list.
+    The long form has one shape whatever the size of a group.
     """
     distinct = df.select(group, member).distinct()
     sizes = distinct.groupBy(group).agg(F.count(F.lit(1)).alias("city_count"))
-    parts = F.ceil(F.col("city_count") / per_list)
-    slot = F.pmod(F.xxhash64(member), parts.cast("long"))
-    return (distinct.join(sizes, group).withColumn("part", slot.cast("int"))
-            .groupBy(group, "city_count", "part")
-            .agg(F.sort_array(F.collect_list(member)).alias("cities")))
+    return distinct.join(sizes, group).select(group, "city_count", member)
 
 
-def duplicate_bases(df: DataFrame, keys: Sequence[str], member: str,
-                    per_list: int = 10000) -> DataFrame:
-    """Keys that occur more than once, with the (sorted, parted) list of members."""
+def duplicate_bases(df: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
+    """Rows of keys that occur more than once: keys, count of the key, member."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
-    parts = F.ceil(F.col("count") / per_list)
-    slot = F.pmod(F.xxhash64(member), parts.cast("long"))
-    return (df.join(sizes, list(keys)).withColumn("part", slot.cast("int"))
-            .groupBy(*keys, "count", "part")
-            .agg(F.sort_array(F.collect_list(member)).alias("members")))
+    return df.join(sizes, list(keys)).select(*keys, "count", member)

@@ -92,7 +92,7 @@ def segment_distance(x: Column, y: Column, e: Column) -> Column:
 
 def nearest_polygon(points: DataFrame, polys: DataFrame, lng: str = "lng", lat: str = "lat",
                     per_block: int = 1000) -> DataFrame:
-    """Nearest polygon of each point, distances in Web Mercator.
+    """Nearest polygon of each point, distances in Web Mercator; none without coordinates.
 
     Meant for the few points no polygon holds.  Each row scans the polygons as an array
     value; with more polygons than one block holds, the blocks' minima are compared.
@@ -105,13 +105,16 @@ def nearest_polygon(points: DataFrame, polys: DataFrame, lng: str = "lng", lat:
     metric = with_edges(polys).withColumn("edges", F.transform("edges", project))
     px, py = mercator(F.col(lng), F.col(lat))
     located = points.withColumns({"_px": px, "_py": py})
-    nearest = best_of(
-        located, blocks(metric, "polygon_id", per_block),
-        ["polygon_id", "state", "district", "edges"], lambda p: F.struct(
-            F.array_min(F.transform(p["edges"], lambda e: segment_distance(
-                F.col("_px"), F.col("_py"), e))).alias("distance"),
-            p["polygon_id"].alias("polygon_id"), p["state"].alias("state"),
-            p["district"].alias("district")), "_best")
+    def entry(p: Column) -> Column:
+        distance = F.array_min(F.transform(p["edges"], lambda e: segment_distance(
+            F.col("_px"), F.col("_py"), e)))
+        # without a distance (no coordinates, no edges) a polygon is no candidate
+        return F.when(distance.isNotNull(), F.struct(
+            distance.alias("distance"), p["polygon_id"].alias("polygon_id"),
+            p["state"].alias("state"), p["district"].alias("district")))
+
+    nearest = best_of(located, blocks(metric, "polygon_id", per_block),
+                      ["polygon_id", "state", "district", "edges"], entry, "_best")
     return nearest.withColumns({
         "polygon_id": F.col("_best.polygon_id"), "state": F.col("_best.state"),
         "district": F.col("_best.district"), "distance": F.col("_best.distance"),

@@ -136,10 +136,16 @@ def group_anomaly(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep the first row per key in ``order``, by a minimum of structs (map-side combined)."""
+    """Keep the first row per key in ``order``, by a minimum of structs (map-side combined).
+
+    Rows equal in ``order`` go by the values of the other columns from left to right, NULL
+    first; maps have no order and are only carried along.
+    """
     rest = [c for c in df.columns if c not in keys and c not in order]
     lead = [c for c in order if c not in keys]
-    packed = F.min(F.struct(*lead, *rest)).alias("_row")
+    comparable = [c for c in rest if "map<" not in df.schema[c].dataType.simpleString()]
+    packed = F.min_by(F.struct(*lead, *rest), F.struct(F.lit(0).alias("_"), *lead, *comparable)
+                      ).alias("_row")
     return df.groupBy(*keys).agg(packed).select(
         *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 

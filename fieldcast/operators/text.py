@@ -7,13 +7,9 @@ from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import ahocorasick
 import numpy as np
 import pandas as pd
-
-try:
-    import ahocorasick
-except ImportError:  # plain substring tests give the same matches
-    ahocorasick = None
 from pyspark.ml.feature import IDF, HashingTF, IDFModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +20,10 @@ from fieldcast.operators.blocks import blocks
 from fieldcast.operators.ranking import dedup_first
 
 
+#: Scores that one slice of items may have in a task (32 MB).
+PRODUCT_VALUES = 4_000_000
+
+
 def _cut(text: str, sep: str) -> list[str]:
     """Pieces of ``text``; each separator stays at the head of the piece it opens."""
     starts = [m.start() for m in re.finditer(re.escape(sep), text)]
@@ -121,11 +121,15 @@ def similarity_topk(queries: DataFrame, items: DataFrame, k: int = 1,
     """Best k items per query by dot product; ties go to the smaller item id.
 
     The query batch is counted and cut into blocks of at most ``block_values`` numbers;
-    each block is sent to the tasks, which multiply it with one Arrow batch of items at a
-    time and pass on only the k best per query.  The items are never shuffled or paired
-    up row by row, whatever their number.
+    each block is sent to the tasks, which multiply it with a bounded slice of items at a
+    time, keep the k best per query and pass those on once per task.  The items are never
+    shuffled.  Rows without a vector, or with a NULL in it, take no part.
     """
+    whole = F.col(vector).isNotNull() & ~F.exists(vector, lambda x: x.isNull())
+    queries, items = queries.filter(whole), items.filter(whole)
     width = queries.agg(F.max(F.size(vector)).alias("w")).first()["w"] or 1
+    schema = (f"{query_id} {queries.schema[query_id].dataType.simpleString()}, "
+              f"{item_id} {items.schema[item_id].dataType.simpleString()}, score double")
     results = []
     for part in blocks(queries, query_id, max(1, block_values // width)):
         rows = part.select(query_id, vector).collect()  # at most one block
@@ -136,46 +140,46 @@ def similarity_topk(queries: DataFrame, items: DataFrame, k: int = 1,
             np.array([r[1] for r in rows], dtype=np.float64))
 
         def best(batches, ids=ids, shared=shared):
-            matrix = shared.value
+            matrix, step = shared.value, max(1, PRODUCT_VALUES // len(ids))
+            score, name = np.empty((len(ids), 0)), np.empty((len(ids), 0), object)
             for batch in batches:
-                if batch.empty:
-                    continue
-                batch = batch.sort_values(item_id, kind="stable")
-                scores = matrix @ np.vstack(batch[vector].to_numpy()).astype(np.float64).T
-                order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-                names = batch[item_id].to_numpy()
-                q = np.repeat(np.arange(len(ids)), order.shape[1])
-                flat = order.ravel()
-                yield pd.DataFrame({query_id: [ids[i] for i in q], item_id: names[flat],
-                                    "score": scores[q, flat]})
-
-        schema = (f"{query_id} {queries.schema[query_id].dataType.simpleString()}, "
-                  f"{item_id} {items.schema[item_id].dataType.simpleString()}, score double")
+                for at in range(0, len(batch), step):
+                    piece = batch.iloc[at:at + step]
+                    new = matrix @ np.vstack(piece[vector].to_numpy()).astype(np.float64).T
+                    score = np.hstack([score, new])
+                    name = np.hstack([name, np.broadcast_to(
+                        piece[item_id].to_numpy(object), new.shape)])
+                    # the k best so far, ties to the smaller id
+                    order = np.argsort(name, axis=1, kind="stable")
+                    score, name = (np.take_along_axis(x, order, 1) for x in (score, name))
+                    order = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                    score, name = (np.take_along_axis(x, order, 1) for x in (score, name))
+            if name.size:
+                q = np.repeat(np.arange(len(ids)), name.shape[1])
+                yield pd.DataFrame({query_id: [ids[i] for i in q], item_id: name.ravel(),
+                                    "score": score.ravel()})
+
         results.append(items.select(item_id, vector).mapInPandas(best, schema))
+    found = (reduce(DataFrame.unionByName, results) if results
+             else queries.sparkSession.createDataFrame([], schema))
     order = Window.partitionBy(query_id).orderBy(F.desc("score"), item_id)
-    return reduce(DataFrame.unionByName, results).withColumn(
-        "rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _name_finder(names: Sequence[str]) -> Callable[[pd.Series], pd.Series]:
+def _name_finder(names: Sequence[str]) -> Callable[[Iterator[pd.Series]], Iterator[pd.Series]]:
     """Function from texts to the lists of names they contain."""
     lowered: dict[str, list[str]] = {}
     for n in names:
         lowered.setdefault(n.lower(), []).append(n)
 
-    def find(texts: pd.Series) -> pd.Series:
-        if ahocorasick is None:
-            def keys_in(t):
-                return [k for k in lowered if k in t]
-        else:
-            machine = ahocorasick.Automaton()
-            for k in lowered:
-                machine.add_word(k, k)
-            machine.make_automaton()
-
-            def keys_in(t):
-                return {k for _, k in machine.iter(t)}
-        return texts.map(lambda t: [n for k in keys_in(t.lower()) for n in lowered[k]] if t else [])
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        machine = ahocorasick.Automaton()  # once per task
+        for key in lowered:
+            machine.add_word(key, key)
+        machine.make_automaton()
+        for texts in batches:
+            yield texts.map(lambda t: [n for key in {k for _, k in machine.iter(t.lower())}
+                                       for n in lowered[key]] if t else [])
 
     return find
 
@@ -192,8 +196,12 @@ def keyword_topk(queries: DataFrame, chunks: DataFrame, k: int = 2, name: str =
     found = []
     for part in blocks(queries.select(name).distinct().filter(F.length(name) > 0), name):
         names = [r[0] for r in part.collect()]  # at most one block
+        if not names:
+            continue
         matches = F.pandas_udf(_name_finder(names), "array<string>")
         found.append(chunks.select(F.explode(matches(text)).alias(name), *keep))
+    if not found:
+        found = [chunks.select(F.lit("").alias(name), *keep).limit(0)]
     ranked = reduce(DataFrame.unionByName, found).withColumn(
         "rank", F.row_number().over(Window.partitionBy(name).orderBy(*order)))
     return ranked.filter(F.col("rank") <= k)

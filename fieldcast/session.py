@@ -61,7 +61,7 @@ def scratch_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", folder)

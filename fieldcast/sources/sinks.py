@@ -23,8 +23,8 @@ def write_dataset(df: DataFrame, path: str, partition_columns: Sequence[str] | s
         (df.hint("rebalance", *cols).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path))
         return
-    if coalesce_num:
-        df = df.coalesce(coalesce_num)
+    if coalesce_num:  # a shuffle, so that what comes before keeps all its tasks
+        df = df.repartition(coalesce_num)
     df.write.mode("overwrite").parquet(path)
 
 

@@ -1,9 +1,4 @@
-"""Registered queries against their SQL twins.
-
-By default every eighth query runs; FULL_CATALOG=1 runs them all.
-"""
-
-import os
+"""Registered queries against their SQL twins."""
 
 import duckdb
 import pytest
@@ -12,7 +7,7 @@ import __spark_entry__ as entry_module
 from tools.verify import TABLES, canon
 
 QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
-NAMES = sorted(QUERIES) if os.environ.get("FULL_CATALOG") else sorted(QUERIES)[::8]
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")

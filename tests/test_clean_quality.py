@@ -97,11 +97,11 @@ def test_null_key_is_found(spark):
     assert quality.check_pk(df, "k", "t").first()["status"] == "FAILED"
 
 
-def test_city_lists_split_large_groups(spark):
+def test_city_lists_have_one_shape(spark):
     df = spark.range(100).select(F.lit("s").alias("state"), F.col("id").cast("string").alias("city"))
-    parts = dims.city_lists(df, per_list=30).collect()
-    assert len(parts) > 1
-    assert sorted(c for p in parts for c in p["cities"]) == sorted(str(i) for i in range(100))
+    rows = dims.city_lists(df.unionByName(df)).collect()
+    assert sorted(r.city for r in rows) == sorted(str(i) for i in range(100))
+    assert {r.city_count for r in rows} == {100}
 
 
 def test_silver_job_round_trip(spark, tmp_path):
