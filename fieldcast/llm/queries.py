@@ -73,4 +73,65 @@ QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_token_files, op3_bpe_round_trip, op4_toxicity, op5_token_counts,
     op6_quality_rules, op7_packing, op8_simhash, op9_url_filters, op10_neighbours)}
 
-ORACLES: dict[str, str] = {}
+
+def _shrunk(name: str, groups: str) -> str:
+    """Two CTEs: the groups (with n, bad and prior) and their posterior rates."""
+    return f"""
+{name}_groups AS ({groups}),
+{name}_sums AS (SELECT count(*) AS g, sum(n)::DOUBLE AS t, sum(n * n)::DOUBLE AS sq,
+    sum(n * pow(bad / n - prior, 2)) AS between_groups, sum(n * (bad / n) * (1 - bad / n)) AS inside
+  FROM {name}_groups WHERE n > 0),
+{name}_spread AS (SELECT between_groups / greatest(g - 1, 1) AS msb,
+    inside / greatest(t - g, 1.0) AS msw, (t - sq / t) / greatest(g - 1, 1) AS n0
+  FROM {name}_sums),
+{name}_rho AS (SELECT CASE WHEN msb + (n0 - 1) * msw > 0
+    THEN (msb - msw) / (msb + (n0 - 1) * msw) END AS rho FROM {name}_spread),
+{name}_means AS (SELECT *, (bad + mass * prior) / (n + mass) AS mean FROM {name}_groups,
+  (SELECT greatest(1.0, least(10000.0, coalesce(CASE WHEN rho > 0 THEN 1 / rho - 1 END, 10000.0)))
+    AS mass FROM {name}_rho)),
+{name} AS (SELECT *, greatest(0.0, mean - {url_reputation.Z!r} * sqrt(greatest(0.0,
+    mean * (1 - mean)) / (n + mass + 1))) AS lower_bound FROM {name}_means)"""
+
+
+def _rule_cases() -> str:
+    """CASE branches of the rules, longest first."""
+    out = []
+    for verdict, rule in sorted(url_reputation.RULES, key=lambda r: (-len(r[1]), r[1])):
+        name, slash, prefix = rule.partition("/")
+        out.append(f"WHEN (host = '{name}' OR ends_with(host, '.{name}')) AND "
+                   f"starts_with(path, '{slash}{prefix}') THEN '{rule} {verdict}'")
+    return "\n    ".join(out)
+
+
+_URL_SQL = f"""
+WITH marks AS (SELECT doc_id, 1 - min(quality) AS bad FROM labels WHERE doc_id IS NOT NULL
+  GROUP BY doc_id),
+cut AS (SELECT page_id, url,
+  CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+raws AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM cut),
+parts AS (SELECT page_id,
+    translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path,
+    TRY_CAST(regexp_extract(url, '://[^/?#]*/[^?#]*?([0-9]+)', 1) AS BIGINT) AS number FROM raws),
+judged AS (SELECT page_id, host, path, bad FROM parts LEFT JOIN marks ON number = doc_id),
+counts AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
+    string_split(host, '.')[-1] AS suffix, count(bad) AS n, coalesce(sum(bad), 0) AS bad
+  FROM judged GROUP BY host),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM counts GROUP BY ALL),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL),
+{_shrunk("by_suffix", """SELECT suffix, n, bad,
+  (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0.0) FROM suffixes) AS prior FROM suffixes""")},
+{_shrunk("by_domain", """SELECT domain, suffix, d.n, d.bad, mean AS prior
+  FROM domains d JOIN by_suffix USING (suffix)""")},
+{_shrunk("by_host", """SELECT host, c.n, c.bad, mean AS prior
+  FROM counts c JOIN by_domain USING (domain, suffix)""")},
+ruled AS (SELECT page_id, host, path, CASE
+    {_rule_cases()} END AS found FROM judged)
+SELECT page_id, host, path, split_part(found, ' ', 1) AS rule,
+  coalesce(split_part(found, ' ', 2), CASE WHEN lower_bound > {url_reputation.LIMIT} THEN 'block'
+    ELSE 'allow' END) AS verdict,
+  round(mean, 6) AS bad_rate, round(lower_bound, 6) AS bad_rate_low
+FROM ruled JOIN by_host USING (host)"""
+
+ORACLES: dict[str, str] = {"op9_url_filters": _URL_SQL}
