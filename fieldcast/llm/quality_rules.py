@@ -100,9 +100,14 @@ def feature(name: str, at: str = "") -> Column:
     return F.when(low > 0, F.col(f"{at}{top}").cast("double") / low)
 
 
+def bin_step() -> float:
+    """Width of a bin in logarithms."""
+    return float(np.log((1 + ERROR) / (1 - ERROR)))
+
+
 def bin_of(value: Column) -> Column:
     """Sketch bin: geometric, so that a bin's middle is within ERROR of all its values."""
-    step = float(np.log((1 + ERROR) / (1 - ERROR)))
+    step = bin_step()
     return F.when(value <= 0, F.lit(ZERO_BIN)).when(
         value > 0, F.ceil(F.log(value) / F.lit(step)).cast("int"))
 

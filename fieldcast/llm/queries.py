@@ -134,4 +134,69 @@ SELECT page_id, host, path, split_part(found, ' ', 1) AS rule,
   round(mean, 6) AS bad_rate, round(lower_bound, 6) AS bad_rate_low
 FROM ruled JOIN by_host USING (host)"""
 
-ORACLES: dict[str, str] = {"op9_url_filters": _URL_SQL}
+
+
+def _rules_sql() -> str:
+    """The quality rules from scratch: measures, bins, quartiles of three levels, fences."""
+    q = quality_rules
+    gamma = (1 + q.ERROR) / (1 - q.ERROR)
+    values = " UNION ALL ".join(
+        f"SELECT rid, lang, source, '{n}' AS feature, {top} / nullif({low}, 0) AS v, "
+        f"{'NULL' if below is None else below} AS below, {above} AS above FROM measures"
+        for n, (top, low, below, above) in q.FEATURES.items())
+
+    def level(name: str, keys: str) -> str:
+        by = f"{keys}, feature" if keys else "feature"
+        return f"""
+{name}_cells AS (SELECT {by}, bin, sum(n) AS n FROM cells GROUP BY ALL),
+{name}_placed AS (SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY bin) AS upto,
+    sum(n) OVER (PARTITION BY {by}) AS total FROM {name}_cells),
+{name} AS (SELECT {by}, max(total) AS total, min(bin) FILTER (WHERE upto >= total * 0.25) AS b1,
+    min(bin) FILTER (WHERE upto >= total * 0.75) AS b3 FROM {name}_placed GROUP BY {by})"""
+
+    def pick(b: str) -> str:
+        one = (f"CASE WHEN o.total >= {q.MIN_ROWS} THEN o.{b} WHEN l.total >= {q.MIN_ROWS} "
+               f"THEN l.{b} ELSE a.{b} END")
+        return (f"CASE WHEN {one} = {q.ZERO_BIN} THEN 0.0 "
+                f"ELSE pow({gamma!r}, {one}) * {2 / (gamma + 1)!r} END")
+
+    return rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+    coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+listed AS (SELECT rid, regexp_extract_all(text, '[^ 	-]+') AS w FROM docs),
+words AS (SELECT rid, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM listed),
+windows AS (SELECT rid, i, w1, lead(w1) OVER (PARTITION BY rid ORDER BY i) AS w2,
+    lead(w1, 2) OVER (PARTITION BY rid ORDER BY i) AS w3 FROM words),
+twice AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, w1, w2, w3) AS n FROM windows
+  WHERE w3 IS NOT NULL),
+repeats AS (SELECT rid, count(DISTINCT i + d) AS n_repeat_words
+  FROM twice, (VALUES (0), (1), (2)) AS t(d) WHERE n >= 2 GROUP BY rid),
+lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM docs),
+line_counts AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM lines WHERE regexp_matches(line, '[^ 	-]') GROUP BY rid),
+measures AS (SELECT d.*, len(w) AS n_words,
+    length(regexp_replace(text, '[ 	-]', '', 'g')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM docs d JOIN listed USING (rid) LEFT JOIN line_counts USING (rid)
+  LEFT JOIN repeats USING (rid)),
+vals AS ({values}),
+cells AS (SELECT lang, source, feature, CASE WHEN v <= 0 THEN {q.ZERO_BIN}
+    ELSE ceil(ln(v) / {q.bin_step()!r})::INT END AS bin, count(*) AS n
+  FROM vals WHERE v IS NOT NULL GROUP BY ALL),
+{level("own", "lang, source")},
+{level("by_lang", "lang")},
+{level("everything", "")},
+quartiles AS (SELECT o.lang, o.source, o.feature, {pick("b1")} AS q1, {pick("b3")} AS q3
+  FROM own o JOIN by_lang l USING (lang, feature) JOIN everything a USING (feature)),
+tests AS (SELECT rid, bool_and(coalesce(v <= q3 + (q3 - q1) * {q.SPREAD} + above, true) AND
+    coalesce(v >= q1 - (q3 - q1) * {q.SPREAD} - below, true)) AS within
+  FROM vals LEFT JOIN quartiles USING (lang, source, feature) GROUP BY rid),
+base AS (SELECT *, n_words < {q.MIN_WORDS} OR
+    n_repeat_words * 100 > n_words * {q.MAX_REPEAT_PERCENT} AS base_failed FROM measures)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND within AS kept FROM base JOIN tests USING (rid)"""
+
+
+ORACLES: dict[str, str] = {"op6_quality_rules": _rules_sql(), "op9_url_filters": _URL_SQL}
