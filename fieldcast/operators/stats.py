@@ -68,15 +68,14 @@ def average_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def with_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace each value by its average rank (complete rows).
 
-    The rows are pinned, since they meet their ranks by exact equality.
+    The rows are pinned with a number each, since they meet their ranks by exact equality: one
+    join in long form for all columns, then one row per number again.
     """
-    out = checkpoint(complete_cases(df.select(*cols), cols))
-    ranks = average_ranks(out, cols)
-    for c in cols:
-        mine = ranks.filter(F.col("feature") == c).select(
-            F.col("value").alias(c), F.col("rank").alias(f"_rank_{c}"))
-        out = out.join(mine, c, "left")
-    return out.select(*[F.col(f"_rank_{c}").alias(c) for c in cols])
+    rows = checkpoint(complete_cases(df.select(*cols), cols).withColumn(
+        "_row", F.monotonically_increasing_id()))
+    ranked = to_long(rows, cols, ["_row"]).join(average_ranks(rows, cols), ["feature", "value"])
+    return ranked.groupBy("_row").agg(*[
+        F.max(F.when(F.col("feature") == c, F.col("rank"))).alias(c) for c in cols]).drop("_row")
 
 
 def spearman_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -20,6 +20,7 @@ DEFAULTS = {
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
