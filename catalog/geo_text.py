@@ -72,21 +72,29 @@ def jn_14(spark, sf):
 
 
 @query("jn_15_nearest_polygon", X.sql(f"""
-SELECT town_id, {rd("min(distance)", 3)} AS distance FROM gaps GROUP BY town_id""", extra=_GEO))
+SELECT town_id, polygon_id, {rd("distance", 3)} AS distance FROM gaps
+QUALIFY row_number() OVER (PARTITION BY town_id ORDER BY distance, polygon_id) = 1""", extra=_GEO))
 def jn_15(spark, sf):
     joined = geo.spatial_join(points(spark, sf), polygons(spark, sf), cell=2.0)
     lost = joined.filter("polygon_id IS NULL").select("town_id", "lng", "lat")
     return present(geo.nearest_polygon(lost, polygons(spark, sf)).select(
-        "town_id", "distance"), 3)
+        "town_id", "polygon_id", "distance"), 3)
 
 
 @query("jn_15_enriched_points", X.sql("""
-SELECT count(*) AS towns, count(polygon_id) AS placed FROM (
-  SELECT town_id, coalesce(m.polygon_id, (SELECT arg_min(polygon_id, distance) FROM gaps g
-    WHERE g.town_id = m.town_id)) AS polygon_id FROM matched m)""", extra=_GEO))
+SELECT town_id, p.polygon_id, state, district FROM (
+  SELECT m.town_id, coalesce(m.polygon_id, n.polygon_id) AS polygon_id FROM matched m
+  LEFT JOIN (SELECT town_id, polygon_id FROM gaps QUALIFY row_number() OVER (
+    PARTITION BY town_id ORDER BY distance, polygon_id) = 1) n ON m.town_id = n.town_id)
+  JOIN plots p USING (polygon_id)
+UNION ALL SELECT -town_id - 1, NULL, NULL, NULL FROM matched""", extra=_GEO))
 def jn_15b(spark, sf):
-    return geo.enrich_points(points(spark, sf), polygons(spark, sf), 2.0).agg(
-        F.count(F.lit(1)).alias("towns"), F.count("polygon_id").alias("placed"))
+    # each town once more without coordinates: no polygon may claim it
+    towns = points(spark, sf).select("town_id", "lng", "lat")
+    lost = towns.select((-F.col("town_id") - 1).alias("town_id"),
+                        F.lit(None).cast("double").alias("lng"), "lat")
+    return geo.enrich_points(towns.unionByName(lost), polygons(spark, sf), 2.0).select(
+        "town_id", "polygon_id", "state", "district")
 
 
 # ---------------------------------------------------------------- chunks

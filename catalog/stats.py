@@ -336,7 +336,7 @@ def ml_01(spark, sf):
 
 @query("ml_02_k_sweep")
 def ml_02(spark, sf):
-    return ml.evaluate_optimal_k(_scaled(spark, sf), 3, 5)[1]
+    return ml.evaluate_optimal_k(_scaled(spark, sf))[1]
 
 
 @query("ml_04_kmeans")
@@ -344,6 +344,24 @@ def ml_04(spark, sf):
     return ml.train_kmeans(_scaled(spark, sf), 8)[1].select("user_id", "cluster_id")
 
 
+@query("ml_04_nearest_centres", """
+SELECT count(DISTINCT user_id) AS users, 8::BIGINT AS clusters, 0::BIGINT AS misplaced
+FROM events""")
+def ml_04b(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+
+    model, rows = ml.train_kmeans(_scaled(spark, sf), 8)
+    vector = vector_to_array("features")
+    gaps = F.array(*[F.struct(F.aggregate(
+        F.zip_with(vector, F.array(*map(F.lit, map(float, centre))), lambda a, b: (a - b) * (a - b)),
+        F.lit(0.0), lambda x, y: x + y).alias("gap"), F.lit(i).alias("i"))
+        for i, centre in enumerate(model.clusterCenters())])
+    own = F.get(gaps, F.col("cluster_id"))["gap"]
+    return rows.agg(
+        F.count(F.lit(1)).alias("users"), F.count_distinct("cluster_id").alias("clusters"),
+        F.count(F.when(own > F.array_min(gaps)["gap"] + 1e-9, 1)).alias("misplaced"))
+
+
 _CENTRES = {
     "parts": "SELECT vec_id, label, unnest(range(1, 65)) AS pos, "
              "unnest(embedding)::DOUBLE AS v FROM embeddings",
@@ -400,6 +418,19 @@ def ml_18(spark, sf):
     return ml.pca2(fp, [c for c in fp.columns if c != "city"], ["city"])
 
 
+@query("ml_18_pca_axes", """
+SELECT count(DISTINCT l_suppkey) AS cities, TRUE AS first_is_wider, TRUE AS uncorrelated
+FROM lineitem""")
+def ml_18b(spark, sf):
+    fp = _profiles(spark, sf)
+    found = ml.pca2(fp, [c for c in fp.columns if c != "city"], ["city"])
+    one, two = [c for c in found.columns if c != "city"][:2]
+    return found.agg(
+        F.count_distinct("city").alias("cities"),
+        (F.var_samp(one) >= F.var_samp(two)).alias("first_is_wider"),
+        (F.abs(F.corr(one, two)) < 1e-6).alias("uncorrelated"))
+
+
 @query("ml_19_fingerprint_clusters")
 def ml_19(spark, sf):
     return ml.fingerprint_clusters(_profiles(spark, sf), "city", 5).select("city", "cluster")
