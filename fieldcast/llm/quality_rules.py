@@ -34,6 +34,7 @@ MAX_REPEAT_PERCENT = 50
 ERROR = 0.01
 MIN_ROWS = 100
 SPREAD = 3.0
+BROADCAST_GROUPS = 100_000  # about 10 MB of limits
 ZERO_BIN = -1_000_000  # bin of values not above zero
 #: Feature: numerator, denominator, slack below (None: no lower fence), slack above.
 FEATURES = {
@@ -170,6 +171,16 @@ def fences(cells: DataFrame, min_rows: int = MIN_ROWS, spread: float = SPREAD) -
     return picked.groupBy("lang", "source").agg(*columns)
 
 
+def _beside_rows(limits: DataFrame) -> DataFrame:
+    """Limits for a join to all rows: broadcast up to `BROADCAST_GROUPS` groups, counted first.
+
+    Without the broadcast the texts would be shuffled by language and source, and a source with
+    a third of all rows would meet in few tasks; beyond the bound adaptive execution splits it.
+    """
+    limits = common.pinned(limits)
+    return F.broadcast(limits) if limits.count() <= BROADCAST_GROUPS else limits
+
+
 def base_failed(at: str = "") -> Column:
     words, again = F.col(f"{at}n_words"), F.col(f"{at}n_repeat_words")
     return (words < MIN_WORDS) | (again * 100 > words * MAX_REPEAT_PERCENT)
@@ -192,7 +203,7 @@ def judge(df: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str =
     The measures are written to the checkpoint folder once and read for sketches and verdicts.
     """
     rows = common.pinned(measured(df, text, doc_id, lang, source))
-    limits = fences(sketch(rows), min_rows, spread)
+    limits = _beside_rows(fences(sketch(rows), min_rows, spread))
     return (rows.join(limits, ["lang", "source"], "left")
             .select("doc_id", *MEASURES[:5], base_failed().alias("base_failed"),
                     (~base_failed() & within()).alias("kept"), "n_lines"))
@@ -216,7 +227,7 @@ def keep(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "s
     rows = (df.withColumn(name, measures(F.col(text)))
             .withColumn(key_lang, F.coalesce(F.col(lang), F.lit("")))
             .withColumn(key_source, F.coalesce(F.col(source), F.lit(""))))
-    limits = fences(sketch(rows, f"{name}.", key_lang, key_source), min_rows, spread)
+    limits = _beside_rows(fences(sketch(rows, f"{name}.", key_lang, key_source), min_rows, spread))
     limits = (limits.withColumnRenamed("lang", f"{key_lang}_limit")
               .withColumnRenamed("source", f"{key_source}_limit"))
     same = ((F.col(key_lang) == F.col(f"{key_lang}_limit"))
