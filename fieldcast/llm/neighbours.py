@@ -34,7 +34,7 @@ from fieldcast.llm import common
 PROJECTIONS = 128
 AGREE = 0.6
 BUDGET = 0.12
-FIRST_WIDTH = 0.7  # half width of the first windows, in standard deviations of a projection
+FIRST_WIDTH = 0.9  # half width of the first windows, in standard deviations of a projection
 WIDEN = 1.35
 SHARD_ROWS = 16_384
 BLOCK_ROWS = 2048
