@@ -210,7 +210,8 @@ _TRENDS = [("latitude", "mean_temp"), ("latitude", "mean_precip"), ("longitude",
 SELECT '{a}' AS coordinate, '{b}' AS weather_metric, count(*) AS cities_used,
   {rd(f"corr({a}, {b})")} AS correlation,
   CASE WHEN abs(corr({a}, {b})) >= 0.7 THEN 'strong' WHEN abs(corr({a}, {b})) >= 0.4
-    THEN 'moderate' ELSE 'weak' END AS strength FROM city_values""" for a, b in _TRENDS),
+    THEN 'moderate' ELSE 'weak' END AS strength FROM city_values
+  HAVING count(*) >= 5""" for a, b in _TRENDS),
     "city_values"))
 def ml_16(spark, sf):
     return present(stats.spatial_trend(X.city_values(spark, sf), _TRENDS), 6)
