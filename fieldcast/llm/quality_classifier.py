@@ -139,6 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", dict_rows: i
     rows = common.pinned(labelled.sample(docs, labels, label, 4 * dict_rows + fit_rows, seed,
                                          text, doc_id).repartition("doc_id"))
     turn = F.xxhash64(F.lit(seed), "doc_id")
+    rows = rows.withColumn("turn", turn)
     share = rows.agg(F.avg(F.when(F.col("label") > 0, 1.0).otherwise(0.0))).first()[0]
     picked, used = {}, []
     for name, one in (("good", F.col("label") > 0), ("bad", F.col("label") <= 0)):
@@ -159,11 +160,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", dict_rows: i
             part = batch.take(pa.array(mask, pa.int64()))
             x = [inputs(t, good, bad).tolist() for t in common.strings(part.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(2), pa.array(x, pa.list_(pa.float64()))],
-                names=["doc_id", "label", "x"])
+                [part.column(0), part.column(2), part.column(3),
+                 pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "label", "turn", "x"])
 
-    table = rows.mapInArrow(run, "doc_id long, label int, x array<double>").toArrow()
-    order = np.argsort(table["doc_id"].to_numpy(), kind="stable")[:fit_rows]
+    table = rows.mapInArrow(run, "doc_id long, label int, turn long, x array<double>").toArrow()
+    order = np.lexsort((table["doc_id"].to_numpy(), table["turn"].to_numpy()))[:fit_rows]
     x = np.array(table["x"].to_pylist(), float).reshape(-1, 6)[order]
     y = (table["label"].to_numpy()[order] > 0).astype(float)
     if not len(y) or y.min() == y.max():

@@ -162,6 +162,14 @@ def test_classifier_edges(spark, edge_docs, no_docs):
     assert empty.weights == (0.5,)
 
 
+def test_calibration_takes_ids_from_the_whole_range(spark):
+    docs = spark.read.parquet(f"{BIG}/documents.parquet")
+    # low ids are good, high ids bad: the smallest ids alone are of one class
+    labels = docs.select("doc_id", (F.col("doc_id") < 500).cast("int").alias("quality"))
+    model = quality_classifier.fit(docs, labels, dict_rows=100, fit_rows=100)
+    assert len(model.weights) == 6
+
+
 # toxicity
 
 def test_toxicity_on_held_out_documents(spark):
