@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldcast.llm import (bpe, neighbours, packing, quality_classifier, quality_rules, simhash,
-                           token_counts, token_files, tokenizer, toxicity, url_reputation)
+from fieldcast.llm import (bpe, line_dedup, neighbours, packing, phrases, prefix_trie,
+                           quality_classifier, quality_rules, simhash, token_counts, token_files,
+                           tokenizer, toxicity, url_reputation)
 from fieldcast.llm.common import table
 from fieldcast.session import scratch_dir
 
@@ -69,9 +70,26 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(rows, rows.where(F.col("vec_id") % 50 == 0))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_token_files, op3_bpe_round_trip, op4_toxicity, op5_token_counts,
-    op6_quality_rules, op7_packing, op8_simhash, op9_url_filters, op10_neighbours)}
+    op6_quality_rules, op7_packing, op8_simhash, op9_url_filters, op10_neighbours,
+    op11_line_dedup, op12_phrases, op13_prefix_trie)}
+
+#: Lower-cases A-Z alone.
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
 def _shrunk(name: str, groups: str) -> str:
@@ -163,7 +181,7 @@ def _rules_sql() -> str:
     return rf"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
     coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
-listed AS (SELECT rid, regexp_extract_all(text, '[^ 	-]+') AS w FROM docs),
+listed AS (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
 words AS (SELECT rid, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM listed),
 windows AS (SELECT rid, i, w1, lead(w1) OVER (PARTITION BY rid ORDER BY i) AS w2,
     lead(w1, 2) OVER (PARTITION BY rid ORDER BY i) AS w3 FROM words),
@@ -173,9 +191,9 @@ repeats AS (SELECT rid, count(DISTINCT i + d) AS n_repeat_words
   FROM twice, (VALUES (0), (1), (2)) AS t(d) WHERE n >= 2 GROUP BY rid),
 lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM docs),
 line_counts AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
-  FROM lines WHERE regexp_matches(line, '[^ 	-]') GROUP BY rid),
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
 measures AS (SELECT d.*, len(w) AS n_words,
-    length(regexp_replace(text, '[ 	-]', '', 'g')) AS word_chars,
+    length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
     coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
     coalesce(n_repeat_words, 0) AS n_repeat_words
@@ -199,4 +217,89 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND within AS kept FROM base JOIN tests USING (rid)"""
 
 
-ORACLES: dict[str, str] = {"op6_quality_rules": _rules_sql(), "op9_url_filters": _URL_SQL}
+_LINES_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id,
+    string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT rid, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM docs),
+keyed AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) ||
+    chr(13)), {_LOWER}) AS key FROM lines),
+shared AS (SELECT key, max(doc_id) AS keeper FROM keyed
+  WHERE length(key) >= {line_dedup.MIN_CHARS} GROUP BY key
+  HAVING count(DISTINCT rid) >= {line_dedup.MIN_DOCS}),
+judged AS (SELECT k.*, coalesce(doc_id < keeper, doc_id IS NULL AND keeper IS NOT NULL) AS lost
+  FROM keyed k LEFT JOIN shared USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
+FROM judged GROUP BY rid"""
+
+_PHRASES_SQL = rf"""
+WITH docs AS (SELECT coalesce(lang, '{phrases.NO_LANG}') AS lang, string_split_regex(
+    translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\x0A-\x0D]') AS p FROM documents),
+pieces AS (SELECT lang, unnest(p) AS piece FROM docs),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+runs AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2),
+    lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM words, range(1, {phrases.MAX_WORDS + 1}) AS t(m)),
+f AS (SELECT lang, phrase, any_value(m) AS m, count(*) AS f FROM runs GROUP BY lang, phrase
+  HAVING count(*) >= {phrases.MIN_COUNT}),
+cands AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+cuts AS (SELECT c.*, k FROM cands c, range(1, {phrases.MAX_WORDS}) AS t(k) WHERE k < m),
+scored AS (SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, n,
+    ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN totals USING (lang)
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+weakest AS (SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_runs AS (SELECT lang, a, unnest(list_transform(range(1, m - s + 2),
+    lambda i: array_to_string(w[i:i + s - 1], ' '))) AS phrase
+  FROM cands, range(2, {phrases.MAX_WORDS}) AS t(s) WHERE s < m),
+longest AS (SELECT lang, phrase, max(a) AS longer FROM inner_runs GROUP BY lang, phrase),
+kept AS (SELECT w.* FROM weakest w LEFT JOIN longest USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer < {phrases.ABSORB_PERCENT} * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score FROM kept QUALIFY rank <= {phrases.TOP}"""
+
+_TRIE_SQL = f"""
+WITH turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+      coalesce(text, '')) AS nth
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT DISTINCT conv_id, conv_id - conv_id % {prefix_trie.BLOCK} AS base,
+    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda c, b: list_reduce(
+      [xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda v, z: CASE WHEN v & 1 = 1
+        THEN xor(v >> 1, 3988292384) ELSE v >> 1 END))) % {prefix_trie.MOST_SHARED} AS h
+  FROM turns),
+taken AS (SELECT c.conv_id, nth AS place, role, text FROM convs c
+  JOIN turns t ON t.conv_id = c.base AND t.nth <= h),
+sizes AS (SELECT c.conv_id, h, count(place) AS m FROM convs c LEFT JOIN taken USING (conv_id)
+  GROUP BY ALL),
+rebuilt AS (SELECT * FROM taken UNION ALL SELECT conv_id, nth - h + m, role, text
+  FROM turns JOIN sizes USING (conv_id) WHERE nth > h),
+paths AS (SELECT conv_id, place AS depth, list(struct_pack(r := role, t := text)) OVER (
+    PARTITION BY conv_id ORDER BY place) AS path, length(text) AS chars FROM rebuilt
+  UNION ALL SELECT conv_id, 0, [], 0 FROM convs),
+nodes AS (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs,
+    any_value(chars) AS chars FROM paths GROUP BY depth, path),
+lengths AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id),
+ends AS (SELECT depth, path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS digest
+  FROM paths JOIN lengths USING (conv_id, depth) GROUP BY depth, path),
+kids AS (SELECT depth - 1 AS depth, path[1:depth - 1] AS path, count(*) AS n FROM nodes
+  WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (SELECT o.*, coalesce(k.n, 0) AS n_children FROM nodes o LEFT JOIN kids k
+  ON o.depth = k.depth AND o.path = k.path),
+up AS (SELECT t.d AS depth, path[1:t.d] AS path, sum((n_children = 0)::INT)::BIGINT AS n_leaves,
+    sum((n_convs - 1) * chars)::BIGINT AS saved_tokens
+  FROM full_nodes, LATERAL (SELECT unnest(range(0, depth + 1)) AS d) t GROUP BY ALL)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, u.n_leaves,
+  u.saved_tokens, coalesce(e.digest, sha256('')) AS ends_sha256
+FROM full_nodes n JOIN up u ON n.depth = u.depth AND n.path = u.path
+LEFT JOIN ends e ON n.depth = e.depth AND n.path = e.path
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]"""
+
+
+ORACLES: dict[str, str] = {"op11_line_dedup": _LINES_SQL, "op12_phrases": _PHRASES_SQL,
+                           "op13_prefix_trie": _TRIE_SQL,
+                           "op6_quality_rules": _rules_sql(), "op9_url_filters": _URL_SQL}
