@@ -109,6 +109,74 @@ def contains(filled: np.ndarray, hashes: np.ndarray, probes: int) -> np.ndarray:
     return ok
 
 
+def counters_for(hashes: float, most_bytes: int) -> int:
+    """Counters of one byte: a power of two, one for each hash, `most_bytes` at most."""
+    return bits_for(hashes, most_bytes, per_hash=1) if hashes < most_bytes else (
+        1 << (max(1 << 16, most_bytes).bit_length() - 1))
+
+
+def count(counters: np.ndarray, hashes: np.ndarray) -> None:
+    """Count distinct hashes, up to 255."""
+    at = np.unique((hashes & np.uint64(len(counters) - 1)).astype(np.int64))
+    held = counters[at]
+    counters[at] = held + (held < 255)
+
+
+def counter_pieces(counters: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Segments of counters that are not empty."""
+    for segment, part in enumerate(np.split(counters, max(1, len(counters) // SEGMENT))):
+        if part.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([segment], pa.int32()),
+                 pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())],
+                names=["segment", "counts"])
+
+
+def counted(found: DataFrame, size: int) -> np.ndarray:
+    """Counters of all tasks added up to 255 at most, ``size`` bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, None
+        for batch in batches:
+            for segment, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                part = np.frombuffer(zlib.decompress(packed), np.uint8)
+                if segment != at:
+                    if at is not None:
+                        yield _counts(at, total)
+                    at, total = segment, part.copy()
+                else:
+                    total += np.minimum(part, 255 - total)
+        if at is not None:
+            yield _counts(at, total)
+
+    summed = found.repartition("segment").sortWithinPartitions("segment").mapInArrow(
+        run, "segment int, counts binary")
+    step = min(SEGMENT, size)
+    out = np.zeros(size, np.uint8)
+    for row in summed.toLocalIterator():
+        out[row[0] * step:(row[0] + 1) * step] = np.frombuffer(zlib.decompress(row[1]), np.uint8)
+    return out
+
+
+def _counts(segment: int, total: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([segment], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)],
+                                                   pa.binary())], names=["segment", "counts"])
+
+
+def filter_of(hashes: DataFrame, most_bytes: int) -> Shared:
+    """Filter of a column of 64-bit hashes (longs)."""
+    number = hashes.count()
+    bits = bits_for(number, most_bytes)
+    probes = probes_for(number, bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from pieces(batch.column(0).to_numpy().view(np.uint64), bits, probes)
+
+    filled = collected(hashes.mapInArrow(run, SCHEMA), bits, "once")
+    return Shared(hashes.sparkSession.sparkContext.broadcast(filled), probes)
+
+
 class Shared:
     """A filter that tasks read from a broadcast."""
 
