@@ -8,8 +8,11 @@ Texts are lower-cased (A-Z), cut at `[.,;:!?\\x0A-\\x0D]` into pieces and those
 2. Local mining.  Each shard is mined completely, length by length, at the local support
    ``min_count * share``: a phrase with less than that in every shard has less than ``min_count``
    in all.  A phrase is looked at only where both phrases of one word less are locally frequent.
-3. Union.  The locally frequent phrases of all shards set bits in one Bloom filter (`bloom`), so
-   that a candidate set of any size reaches all shards in a bounded number of bytes.
+3. Union.  Shards name their locally frequent phrases by hash, with counts.  A shard that does
+   not name a phrase has less than its local support of it, so the sum of counts and of what the
+   other shards may have bounds a phrase's count.  Those that can reach ``min_count`` set bits in
+   one Bloom filter (`bloom`): a candidate set of any size reaches all shards in a bounded number
+   of bytes.
 4. Global counts.  Every shard counts all its occurrences of the phrases in the filter (and of
    those that only seem to be there), whole phrases are summed over the shards, and those with
    ``min_count`` or more remain.
@@ -27,6 +30,7 @@ table gives no rows.  Columns other than text and language are not used.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,10 +43,12 @@ from fieldcast.llm import bloom, common
 MIN_COUNT, MAX_WORDS, TOP = 100, 5, 2000
 NO_LANG = "und"
 #: UTF-8 bytes of a shard, and of a Bloom filter at most.
-SHARD_BYTES = 48 << 20
+SHARD_BYTES = 24 << 20
 FILTER_BYTES = 1 << 25
 #: Characters of text for each candidate expected, to size the filter.
 CHARS_PER_CANDIDATE = 128
+#: Hash buckets of the union for each shard.
+BUCKETS = 4
 #: A candidate goes if a longer one that holds it has this percentage of its count.
 ABSORB_PERCENT = 100
 #: Fixed value: characters that end a piece.
@@ -186,26 +192,79 @@ def _corpora(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[dict[str,
         yield held
 
 
-def _candidates(shards: DataFrame, lengths: range, min_count: int, size: int,
-                filter_bytes: int, pairs=None) -> bloom.Shared:
-    """Bloom filter of the phrases that are locally frequent in some shard."""
-    spark = shards.sparkSession
-    expected = (shards.agg(F.sum(F.length("text"))).first()[0] or 0) / CHARS_PER_CANDIDATE
-    bits = bloom.bits_for(expected, filter_bytes)
-    probes = bloom.probes_for(expected, bits)
+def _mined(shards: DataFrame, lengths: range, min_count: int, size: int, buckets: int,
+           pairs=None) -> DataFrame:
+    """Locally frequent phrases, packed by hash bucket: bucket, lang, hashes, excess, floor.
 
+    A shard may hold up to ``floor`` occurrences of a phrase that it does not name; ``excess`` is
+    what a phrase named has beyond that.  Bucket -1 has the floor of a shard and language.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _corpora(batches, size):
-            found = []
             for lang in list(held):
                 corpus = held.pop(lang)
-                support = min_count * corpus.chars / corpus.total
-                found += [h for _, _, _, h in mine(corpus, lang, lengths, support - 1e-9,
-                                                   pairs=pairs and pairs.contains)]
-            if found:
-                yield from bloom.pieces(np.concatenate(found), bits, probes)
+                support = math.ceil(min_count * corpus.chars / corpus.total - 1e-9)
+                yield _packed(-1, lang, np.empty(0, np.uint64), np.empty(0, np.int64), support - 1)
+                levels = [(h, n) for _, _, n, h in mine(corpus, lang, lengths, support,
+                                                        pairs=pairs and pairs.contains)]
+                if not levels:
+                    continue
+                hashes, n = (np.concatenate(x) for x in zip(*levels))
+                home = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(home, kind="stable")
+                hashes, excess = hashes[order], n[order] - (support - 1)
+                cuts = np.searchsorted(home[order], np.arange(buckets + 1))
+                for at in np.flatnonzero(np.diff(cuts)):
+                    here = slice(cuts[at], cuts[at + 1])
+                    yield _packed(int(at), lang, hashes[here], excess[here], 0)
+
+    return shards.mapInArrow(
+        run, "bucket int, lang string, hashes binary, excess binary, floor long")
+
+
+def _packed(bucket: int, lang: str, hashes: np.ndarray, excess: np.ndarray,
+            floor: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([bucket], pa.int32()), pa.array([lang]),
+         pa.array([hashes.tobytes()], pa.binary()),
+         pa.array([np.minimum(excess, 1 << 30).astype(np.int32).tobytes()], pa.binary()),
+         pa.array([floor], pa.int64())], names=["bucket", "lang", "hashes", "excess", "floor"])
+
 
-    union = bloom.collected(shards.mapInArrow(run, bloom.SCHEMA), bits, "once")
+def _candidates(shards: DataFrame, lengths: range, min_count: int, size: int,
+                filter_bytes: int, pairs=None) -> bloom.Shared:
+    """Bloom filter of the phrases whose counts may reach ``min_count`` in all shards."""
+    spark = shards.sparkSession
+    chars = shards.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits = bloom.bits_for(chars / CHARS_PER_CANDIDATE, filter_bytes)
+    probes = bloom.probes_for(chars / CHARS_PER_CANDIDATE, bits)
+    buckets = BUCKETS * (1 + chars // size)
+    mined = common.pinned(_mined(shards, lengths, min_count, size, buckets, pairs))
+    floors = mined.where("bucket < 0").groupBy("lang").agg(F.sum("floor").alias("floors"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+
+        def union() -> Iterator[pa.RecordBatch]:
+            hashes, excess = (np.concatenate(x) for x in zip(*held))
+            names, inverse = np.unique(hashes, return_inverse=True)
+            most = np.bincount(inverse, weights=excess) + last[2]
+            yield from bloom.pieces(names[most >= min_count], bits, probes)
+
+        for batch in batches:
+            for *key, hashes, excess in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != last:
+                    if held:
+                        yield from union()
+                    last, held = key, []
+                held.append((np.frombuffer(hashes, np.uint64), np.frombuffer(excess, np.int32)))
+        if held:
+            yield from union()
+
+    named = mined.where("bucket >= 0").join(floors, "lang").select(
+        "bucket", "lang", "floors", "hashes", "excess").repartition(
+        "bucket", "lang").sortWithinPartitions("bucket", "lang")
+    union = bloom.collected(named.mapInArrow(run, bloom.SCHEMA), bits, "once")
     return bloom.Shared(spark.sparkContext.broadcast(union), probes)
 
 
