@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldcast.functions.keys import finite
 from fieldcast.operators.ranking import null_safe_join
+from fieldcast.session import checkpoint
 
 _ACCURACY = 10000
+_PARTS = 256
+#: Distinct values that the last pass may count inside one bracket.
+MOST_CELLS = 20_000
+#: Groups whose brackets are broadcast; more meet their rows in a shuffle.
+BROADCAST_GROUPS = 20_000
 
 
 def _nudged(bound: Column, direction: int) -> Column:
@@ -26,66 +32,127 @@ def to_long(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> Dat
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    keys: Sequence[str] = ()) -> DataFrame:
-    """Linear-interpolated quantiles per key, feature and probability.
-
-    A sketch brackets each quantile.  The brackets cut the value axis into cells: every
-    value inside a bracket is its own cell, the gaps between brackets are one cell each.
-    Counting the cells is a map-side combined aggregate; only the cells (a few
-    ten-thousandths of the values) are then ordered, so no task ever sees a whole group,
-    and the answer is exact whatever the sketch returned.
+                    keys: Sequence[str] = (), accuracy: int = _ACCURACY,
+                    most_cells: int = MOST_CELLS) -> DataFrame:
+    """Linear-interpolated quantiles per key, feature and probability, by distributed selection.
+
+    Each quantile needs the values at two ranks.  A sketch brackets every rank.  Where a bracket
+    may hold more than ``most_cells`` distinct values it is narrowed: one pass counts what lies
+    below and inside and takes a histogram of the inside, and the rank's part of it is the next
+    bracket.  Then one pass counts the distinct values inside all brackets (map-side combined),
+    and each rank is read from its few ordered cells.  A rank that its bracket misses gets the
+    part beside it and goes through the same steps again, so the answer is exact whatever the
+    sketch returns, and no task orders a group's values.
+
+    Groups without values have no row.
     """
     keys = list(keys)
+    by = [*keys, "feature"]
     probs = sorted({float(p) for p in probs})
     gap = 2.0 / _ACCURACY
     long = to_long(df, cols, keys)
     bounds = [b for p in probs for b in (max(p - gap, 0.0), min(p + gap, 1.0))]
-    sketch = long.groupBy(*keys, "feature").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("value", bounds, _ACCURACY).alias("_bounds"))
-
-    joined = null_safe_join(long, sketch, [*keys, "feature"], "inner")
-    value = F.col("value")
-    passed = [(value > _nudged(F.col("_bounds")[2 * i + 1], 1)).cast("int")
-              for i in range(len(probs))]
-    ahead = [(value < _nudged(F.col("_bounds")[2 * i], -1)).cast("int")
-             for i in range(len(probs))]
-    in_gap = sum(ahead[1:], ahead[0]) + sum(passed[1:], passed[0]) == len(probs)
-    cells = (
-        joined.select(*keys, "feature", "n", "value", in_gap.alias("_gap"),
-                      sum(passed[1:], passed[0]).alias("_cell"))
-        .groupBy(*keys, "feature", "n", "_gap", "_cell",
-                 F.when(~F.col("_gap"), F.col("value")).alias("_exact"))
-        .agg(F.count(F.lit(1)).alias("_count"), F.min("value").alias("_min"),
-             F.max("value").alias("_max"))
-    )
-    upto = F.sum("_count").over(Window.partitionBy(*keys, "feature").orderBy("_min"))
-    placed = cells.withColumn("_upto", upto).withColumn(
-        "_before", F.col("_upto") - F.col("_count"))
-
-    def value_at(index: Column) -> Column:
-        # a neighbour of a bracket is the edge of the next gap
-        found = (
-            F.when(~F.col("_gap") | (index == F.col("_before")), F.col("_min"))
-            .when(index == F.col("_upto") - 1, F.col("_max"))
-            .otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double")))
-        return F.max(F.when((index >= F.col("_before")) & (index < F.col("_upto")), found))
-
-    picks = []
-    for i, p in enumerate(probs):
-        low = F.floor(F.lit(p) * (F.col("n") - 1))
-        picks += [value_at(low).alias(f"_a{i}"),
-                  value_at(F.least(low + 1, F.col("n") - 1)).alias(f"_b{i}")]
-    wide = placed.groupBy(*keys, "feature", "n").agg(*picks)
+    sketch = long.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most"),
+        F.percentile_approx("value", bounds, accuracy).alias("_b"))
+    ranks = F.array(*[F.struct(
+        F.lit(2 * i + side).alias("t"),
+        F.least(F.floor(F.lit(p) * (F.col("n") - 1)) + side, F.col("n") - 1).alias("k"),
+        _nudged(F.col("_b")[2 * i], -1).alias("lo"),
+        _nudged(F.col("_b")[2 * i + 1], 1).alias("hi"))
+        for i, p in enumerate(probs) for side in (0, 1)])
+    start = checkpoint(sketch.select(*by, "n", "least", "most", F.explode(ranks).alias("r")).select(
+        *by, "n", "least", "most", "r.*",
+        (F.col("n") * (2 * gap + 2.0 / _ACCURACY) > most_cells).alias("wide")))
+    few = start.select(*by).distinct().count() <= BROADCAST_GROUPS
+    found, left = None, start
+    while True:
+        while not left.filter("wide").isEmpty():
+            left = checkpoint(_narrowed(long, left.filter("wide"), by, few, most_cells)
+                              .unionByName(left.filter("NOT wide")))
+        picked = checkpoint(_picked(long, left, by, few))
+        hit = picked.filter("value IS NOT NULL").select(*by, "n", "t", "value")
+        found = hit if found is None else found.unionByName(hit)
+        left = picked.filter("value IS NULL").select(
+            *by, "n", "least", "most", "t", "k", *_beside(), F.lit(True).alias("wide"))
+        if left.isEmpty():
+            break
+    at = lambda t: F.max(F.when(F.col("t") == t, F.col("value")))
+    wide = found.groupBy(*by, "n").agg(*[at(t).alias(f"_v{t}") for t in range(2 * len(probs))])
     position = F.col("q.p") * (F.col("n") - 1)
-    return wide.select(*keys, "feature", "n", F.explode(F.array(*[
-        F.struct(F.lit(p).alias("p"), F.col(f"_a{i}").alias("a"), F.col(f"_b{i}").alias("b"))
+    return wide.select(*by, "n", F.explode(F.array(*[
+        F.struct(F.lit(p).alias("p"), F.col(f"_v{2 * i}").alias("a"),
+                 F.col(f"_v{2 * i + 1}").alias("b"))
         for i, p in enumerate(probs)])).alias("q")).select(
-        *keys, "feature", "n", F.col("q.p").alias("p"),
+        *by, "n", F.col("q.p").alias("p"),
         (F.col("q.a") + (F.col("q.b") - F.col("q.a")) * (position - F.floor(position)))
         .alias("value"))
 
 
+def _hits(long: DataFrame, left: DataFrame, by: list[str], few: bool) -> DataFrame:
+    """A row per rank and value not above its bracket."""
+    brackets = left.groupBy(*by).agg(F.collect_list(F.struct("t", "lo", "hi")).alias("_r"))
+    side = F.broadcast(brackets) if few else brackets  # `few`: counted, BROADCAST_GROUPS at most
+    return null_safe_join(long, side, by, "inner").select(
+        *by, "value", F.explode(F.filter("_r", lambda r: F.col("value") <= r["hi"])).alias("_h")
+    ).select(*by, F.col("_h.t").alias("t"), F.col("_h.lo").alias("lo"), "value")
+
+
+def _beside() -> list[Column]:
+    """The part beside a bracket that misses its rank: below it or above it."""
+    below = F.col("k") < F.col("_below")
+    return [F.when(below, F.col("least")).otherwise(F.col("hi")).alias("lo"),
+            F.when(below, F.col("lo")).otherwise(F.col("most")).alias("hi")]
+
+
+def _narrowed(long: DataFrame, left: DataFrame, by: list[str], few: bool,
+              most_cells: int) -> DataFrame:
+    """Brackets around the part of a histogram of their inside that holds the rank."""
+    inside = F.when(F.col("value") >= F.col("lo"), F.col("value"))
+    counts = _hits(long, left, by, few).groupBy(*by, "t").agg(
+        F.count(F.lit(1)).alias("_upto"), F.count(inside).alias("_in"),
+        F.approx_count_distinct(inside).alias("_kinds"),
+        F.percentile_approx(inside, [i / _PARTS for i in range(_PARTS + 1)], _ACCURACY)
+        .alias("_h"))
+    both = null_safe_join(left, counts, [*by, "t"]).withColumn(
+        "_below", F.coalesce(F.col("_upto") - F.col("_in"), F.lit(0))).withColumn(
+        "_at", F.floor((F.col("k") - F.col("_below")) / F.col("_in") * _PARTS).cast("int"))
+    fits = (F.col("k") >= F.col("_below")) & (F.col("k") < F.col("_upto"))
+    low = F.when(F.col("_at") >= 2, _nudged(F.element_at("_h", F.greatest(
+        F.col("_at") - 1, F.lit(1))), -1)).otherwise(F.col("lo"))
+    high = F.when(F.col("_at") < _PARTS - 2, _nudged(F.element_at("_h", F.least(
+        F.col("_at") + 4, F.lit(_PARTS + 1))), 1)).otherwise(F.col("hi"))
+    lo, hi = _beside()
+    return both.select(*by, "n", "least", "most", "t", "k",
+                       F.when(fits, low).otherwise(lo).alias("lo"),
+                       F.when(fits, high).otherwise(hi).alias("hi"),
+                       F.coalesce(~fits | (F.col("_kinds") * (5.0 / _PARTS) > most_cells),
+                                  F.lit(True)).alias("wide"))
+
+
+def _picked(long: DataFrame, left: DataFrame, by: list[str], few: bool) -> DataFrame:
+    """The value at each rank, null where the bracket misses it."""
+    cell = F.when(F.col("value") >= F.col("lo"), F.col("value"))
+    cells = _hits(long, left, by, few).select(*by, "t", cell.alias("_cell")).groupBy(
+        *by, "t", "_cell").agg(F.count(F.lit(1)).alias("_count"))
+    lists = cells.groupBy(*by, "t").agg(
+        F.coalesce(F.sum(F.when(F.col("_cell").isNull(), F.col("_count"))), F.lit(0))
+        .alias("_below"),
+        F.sort_array(F.collect_list(F.when(F.col("_cell").isNotNull(),
+                                           F.struct("_cell", "_count")))).alias("_cells"))
+    both = null_safe_join(left, lists, [*by, "t"]).withColumn(
+        "_below", F.coalesce("_below", F.lit(0)))
+    nothing = F.lit(None).cast("double")
+    value = F.aggregate(
+        "_cells", F.struct(F.col("_below").alias("seen"), nothing.alias("value")),
+        lambda a, c: F.struct(
+            (a["seen"] + c["_count"]).alias("seen"),
+            F.when((F.col("k") >= a["seen"]) & (F.col("k") < a["seen"] + c["_count"]),
+                   c["_cell"]).otherwise(a["value"]).alias("value")),
+        lambda a: a["value"])
+    return both.withColumn("value", value)
+
+
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: dict[str, float],
                    keys: Sequence[str] = ()) -> DataFrame:
     """As :func:`exact_quantiles`, one column per named probability."""

@@ -110,3 +110,21 @@ def test_quantiles_of_large_skewed_groups(spark):
             row = out[(out["g"] == g) & (out["feature"] == col)].iloc[0]
             assert [row["q1"], row["q2"], row["q3"]] == pytest.approx(
                 np.quantile(part[col], [0.25, 0.5, 0.75]))
+
+
+@pytest.mark.parametrize("accuracy,most_cells", [(10000, 20_000), (10000, 7), (2, 20_000), (2, 5)])
+def test_quantiles_where_brackets_are_wide_or_miss(spark, accuracy, most_cells):
+    """A poor sketch misses ranks; few cells force narrowing; ties never end it wrongly."""
+    rng = np.random.default_rng(4)
+    frame = pd.DataFrame({"g": ["a"] * 3000 + ["b"] * 40 + [None] * 5,
+                          "x": np.concatenate([rng.lognormal(0, 3, 3000), np.arange(40.0) - 20,
+                                               [1.0, 1.0, 2.0, np.nan, -1e300]]),
+                          "z": rng.integers(0, 2, 3045) * 1.0})
+    probs = [0.0, 0.01, 0.5, 0.75, 1.0]
+    out = exact_quantiles(spark.createDataFrame(frame), ["x", "z"], probs, ["g"], accuracy,
+                          most_cells).toPandas()
+    assert len(out) == 3 * 2 * len(probs)
+    for (g, feature), part in out.groupby(["g", "feature"], dropna=False):
+        rows = frame[frame["g"].isna() if pd.isna(g) else frame["g"] == g][feature].dropna()
+        assert part.sort_values("p")["value"].tolist() == pytest.approx(
+            np.quantile(rows, probs), rel=1e-12)
