@@ -11,8 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldcast.operators.blocks import best_of, blocks
+from fieldcast.session import checkpoint
 
 EARTH_RADIUS = 6378137.0
+#: Edges that a cell may meet before it is cut into four, and the most cuts.
+CELL_EDGES, CELL_LEVELS = 256, 16
 
 
 def with_edges(polys: DataFrame) -> DataFrame:
@@ -33,8 +36,8 @@ def with_edges(polys: DataFrame) -> DataFrame:
         "min_y": bound(F.array_min, "y1"), "max_y": bound(F.array_max, "y1")}).drop("rings")
 
 
-def intersects(x: Column, y: Column, edges: Column) -> Column:
-    """Odd number of crossings, or on the border."""
+def intersects(x: Column, y: Column, edges: Column, passed: Column | None = None) -> Column:
+    """Odd number of crossings (``passed``: others besides these edges), or on the border."""
     def crossing(n: Column, e: Column) -> Column:
         at = (e["x2"] - e["x1"]) * F.try_divide(y - e["y1"], e["y2"] - e["y1"]) + e["x1"]
         hit = ((e["y1"] > y) != (e["y2"] > y)) & F.coalesce(x < at, F.lit(False))
@@ -45,34 +48,135 @@ def intersects(x: Column, y: Column, edges: Column) -> Column:
         return ((cross == 0) & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
                 & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))
 
-    return (F.aggregate(edges, F.lit(0), crossing) % 2 == 1) | F.exists(edges, on_edge)
+    start = F.lit(0) if passed is None else passed
+    return (F.aggregate(edges, start, crossing) % 2 == 1) | F.exists(edges, on_edge)
 
 
-def spatial_join(points: DataFrame, polys: DataFrame, cell: float = 1.0, lng: str = "lng",
-                 lat: str = "lat") -> DataFrame:
-    """State and district of the first polygon that holds each point (NULL if none).
+def _cells(lo: Column, hi: Column, size: float) -> Column:
+    return F.explode(F.sequence(F.floor(lo / size), F.floor(hi / size)))
+
 
-    Polygons are listed per grid cell of their bounding box, ordered by id.  Points meet
-    one cell row by equality, so there is no cross join, no fan-out, and no second
-    shuffle to pick the first match.
+def _toggles(size: float) -> Column:
+    """Heights at which an edge right of a cell changes the crossings of points in the cell.
+
+    The edge is crossed from its lower end (below the cell: from the cell's bottom) to below its
+    upper end.
+    """
+    bottom = F.col("cy") * F.lit(size)
+    low, high = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
+    crossed = (low < high) & (high > bottom) & (low < bottom + size)
+    both = F.array(F.greatest(low, bottom), high)
+    return F.when(crossed, F.filter(both, lambda y: y < bottom + size))
+
+
+def _odd(toggles: DataFrame) -> DataFrame:
+    """Heights met an odd number of times; the others cancel, as at vertices of one chain."""
+    return toggles.groupBy("cx", "cy", "polygon_id", "y").agg(
+        F.count(F.lit(1)).alias("n")).where("n % 2 = 1").drop("n")
+
+
+def cell_index(polys: DataFrame, cell: float = 1.0, most_edges: int = CELL_EDGES,
+               levels: int = CELL_LEVELS) -> tuple[DataFrame, list[DataFrame]]:
+    """Adaptive grid of polygons: the leaf cells, and the cells split at each level.
+
+    A leaf (level, cx, cy) lists its polygons with ``edges``, those whose box meets the cell, and
+    ``toggles``, heights at which the number of edges entirely right of the cell changes between
+    even and odd.  Both together tell for every point of the cell what all edges of the polygon
+    tell.  A cell that meets more than ``most_edges`` edges is cut into four, so the bytes of a
+    cell do not grow with the polygons that reach into it.  Edges are rows all along: no task
+    holds a polygon as a whole.
     """
     edged = with_edges(polys)
+    names = edged.select("polygon_id", "state", "district")
+    edges = checkpoint(edged.select("polygon_id", "min_x", F.explode("edges").alias("e")))
+    margin = cell * 1e-6
+    left, right = F.least("e.x1", "e.x2"), F.greatest("e.x1", "e.x2")
+    low, high = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
+    near = edges.withColumn("cx", _cells(left - margin, right + margin, cell)).withColumn(
+        "cy", _cells(low - margin, high + margin, cell)).select("cx", "cy", "polygon_id", "e")
+    # cells of the row entirely left of the edge, back to the polygon's first column
+    first = F.floor((F.col("min_x") - margin) / cell)  # as far left as any near edge
+    last = F.floor((left - margin) / cell) - 1
+    far = edges.where((low < high) & (last >= first)).withColumn(
+        "cx", F.explode(F.sequence(first, last))).withColumn("cy", _cells(low, high, cell))
+    toggles = _odd(far.select("cx", "cy", "polygon_id", F.explode(_toggles(cell)).alias("y")))
+    leaves, splits, size = None, [], cell
+    for level in range(levels + 1):
+        near, toggles = checkpoint(near), checkpoint(toggles)
+        full = near.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n")).where(
+            F.col("n") > most_edges).drop("n")
+        full = checkpoint(full if level < levels else full.limit(0))
+        stay = lambda df: df.join(full, ["cx", "cy"], "left_anti")
+        listed = stay(near).groupBy("cx", "cy", "polygon_id").agg(
+            F.collect_list("e").alias("edges")).join(
+            stay(toggles).groupBy("cx", "cy", "polygon_id").agg(
+                F.collect_list("y").alias("toggles")), ["cx", "cy", "polygon_id"], "full")
+        leaf = listed.join(names, "polygon_id").groupBy("cx", "cy").agg(F.array_sort(
+            F.collect_list(F.struct(
+                "polygon_id", "state", "district",
+                F.coalesce("edges", F.expr("array()").cast(listed.schema["edges"].dataType))
+                .alias("edges"),
+                F.coalesce("toggles", F.expr("array()").cast("array<double>"))
+                .alias("toggles")))).alias("_polys")).withColumn("level", F.lit(level))
+        leaf = checkpoint(leaf)
+        leaves = leaf if leaves is None else leaves.unionByName(leaf)
+        if full.isEmpty():
+            break
+        splits.append(full)
+        size /= 2
+        quarter = F.explode(F.array(*[F.struct((F.col("cx") * 2 + i).alias("cx"),
+                                               (F.col("cy") * 2 + j).alias("cy"))
+                                      for i in (0, 1) for j in (0, 1)]))
+        inner = near.join(full, ["cx", "cy"]).withColumn("q", quarter).select(
+            "q.cx", "q.cy", "polygon_id", "e")
+        x0, y0 = F.col("cx") * F.lit(size), F.col("cy") * F.lit(size)
+        beyond = left - margin >= x0 + size
+        meets = ~beyond & (right + margin >= x0) & (low - margin < y0 + size) & (
+            high + margin >= y0)
+        passed = toggles.join(full, ["cx", "cy"]).withColumn("q", quarter).select(
+            "q.cx", "q.cy", "polygon_id", "y")
+        passed = passed.where(F.col("y") < y0 + size).withColumn("y", F.greatest("y", y0))
+        toggles = _odd(passed.unionByName(inner.where(beyond).select(
+            "cx", "cy", "polygon_id", F.explode(_toggles(size)).alias("y"))))
+        near = inner.where(meets)
+    return leaves, splits
+
 
-    def cells(lo: str, hi: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell)))
-
-    listed = (edged.withColumn("_cx", cells("min_x", "max_x"))
-              .withColumn("_cy", cells("min_y", "max_y"))
-              .groupBy("_cx", "_cy")
-              .agg(F.array_sort(F.collect_list(F.struct(
-                  "polygon_id", "state", "district", "edges"))).alias("_polys")))
-    located = points.withColumns({"_cx": F.floor(F.col(lng) / cell),
-                                  "_cy": F.floor(F.col(lat) / cell)})
-    joined = located.join(listed, ["_cx", "_cy"], "left")
-    hit = F.get(F.filter("_polys", lambda p: intersects(F.col(lng), F.col(lat), p["edges"])), 0)
+def spatial_join(points: DataFrame, polys: DataFrame, cell: float = 1.0, lng: str = "lng",
+                 lat: str = "lat", most_edges: int = CELL_EDGES) -> DataFrame:
+    """State and district of the first polygon (by id) that holds each point (NULL if none).
+
+    Points meet one leaf cell of :func:`cell_index` by equality: first their level is looked up
+    in the cells split, then the leaf is joined, so there is no cross join and no fan-out.
+    """
+    leaves, splits = cell_index(polys, cell, most_edges)
+    x, y = F.col(lng), F.col(lat)
+    located = points.withColumns({"_cx": F.floor(x / cell), "_cy": F.floor(y / cell),
+                                  "_level": F.lit(0)})
+    size = cell
+    for level, split in enumerate(splits):
+        size /= 2
+        cut = split.select(F.col("cx").alias("_sx"), F.col("cy").alias("_sy"),
+                           F.lit(True).alias("_cut"))
+        deeper = F.col("_cut").isNotNull()
+        located = located.join(cut, (F.col("_cx") == F.col("_sx")) & (F.col("_cy") == F.col("_sy"))
+                               & (F.col("_level") == level), "left").withColumns({
+            "_cx": F.when(deeper, F.floor(x / size)).otherwise(F.col("_cx")),
+            "_cy": F.when(deeper, F.floor(y / size)).otherwise(F.col("_cy")),
+            "_level": F.when(deeper, level + 1).otherwise(F.col("_level"))}).drop(
+            "_sx", "_sy", "_cut")
+    joined = located.join(leaves.select(F.col("level").alias("_level"), F.col("cx").alias("_cx"),
+                                        F.col("cy").alias("_cy"), "_polys"),
+                          ["_level", "_cx", "_cy"], "left")
+
+    def holds(p: Column) -> Column:
+        passed = F.size(F.filter(p["toggles"], lambda t: t <= y))
+        return intersects(x, y, p["edges"], passed)
+
+    hit = F.get(F.filter("_polys", holds), 0)
     return joined.withColumn("_hit", hit).withColumns({
         "polygon_id": F.col("_hit.polygon_id"), "state": F.col("_hit.state"),
-        "district": F.col("_hit.district")}).drop("_cx", "_cy", "_polys", "_hit")
+        "district": F.col("_hit.district")}).drop("_level", "_cx", "_cy", "_polys", "_hit")
 
 
 def mercator(lng: Column, lat: Column) -> tuple[Column, Column]:
@@ -122,8 +226,8 @@ def nearest_polygon(points: DataFrame, polys: DataFrame, lng: str = "lng", lat:
 
 
 def enrich_points(points: DataFrame, polys: DataFrame, cell: float = 1.0) -> DataFrame:
-    """Holding polygon of each point, else the nearest one."""
-    joined = spatial_join(points, polys, cell)
+    """Holding polygon of each point, else the nearest one; points meet the grid once."""
+    joined = checkpoint(spatial_join(points, polys, cell))
     inside = joined.filter("polygon_id IS NOT NULL")
     outside = joined.filter("polygon_id IS NULL").select(*points.columns)
     return inside.unionByName(nearest_polygon(outside, polys).drop("distance"))

@@ -46,6 +46,47 @@ def test_polygons_with_holes_and_parts(spark, polygons):
     assert geo.enrich_points(df, polygons).filter("state IS NULL").count() == 0
 
 
+@pytest.mark.parametrize("cell,most_edges", [(1.0, 256), (8.0, 40)])
+def test_one_huge_polygon_among_small_ones(spark, cell, most_edges):
+    """Stars with a hole, a jagged giant over all: the grid agrees with all edges of each."""
+    rng = np.random.default_rng(6)
+
+    def star(cx, cy, radius, corners):
+        turn = np.linspace(0, 2 * np.pi, corners, endpoint=False)
+        reach = radius * rng.uniform(0.6, 1.0, corners)
+        ring = np.round(np.stack([cx + reach * np.cos(turn), cy + reach * np.sin(turn)], 1), 2)
+        return [[float(a), float(b)] for a, b in [*ring, ring[0]]]
+
+    shapes = [("p9", "giant", "all", [star(5, 5, 7, 400), star(5, 5, 1.5, 30)])] + [
+        (f"p{i}", f"s{i}", "small", [star(rng.uniform(0, 10), rng.uniform(0, 10), 0.7, 9)])
+        for i in range(8)] + [("q", "box", "lined up", [[[-3.0, 2.0], [2.0, 2.0], [2.0, 4.0],
+                                                         [-3.0, 4.0], [-3.0, 2.0]]]),
+                   ("r", "box", "on cell borders", [[[12.0, 8.0], [13.0, 8.0], [13.0, 16.0],
+                                                     [12.0, 16.0], [12.0, 8.0]]])]
+    polys = spark.createDataFrame(shapes, "polygon_id string, state string, district string, "
+                                          "rings array<array<array<double>>>")
+    spots = [(float(a), float(b)) for a, b in rng.uniform(-3, 18, (400, 2))]
+    spots += [(float(a), float(b)) for a in range(-3, 13) for b in range(-3, 13)]
+    spots += [tuple(p) for _, _, _, rings in shapes for p in rings[0][:20]]
+    points = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(spots)] + [
+        (-1, None, 1.0)], "id long, lng double, lat double")
+    found = {r.id: r.polygon_id for r in geo.spatial_join(
+        points, polys, cell, most_edges=most_edges).collect()}
+    whole = geo.with_edges(polys).agg(F.array_sort(F.collect_list(F.struct(
+        "polygon_id", "edges"))).alias("a")).scalar()
+    hit = F.get(F.filter("whole", lambda p: geo.intersects(F.col("lng"), F.col("lat"),
+                                                           p["edges"])), 0)
+    wanted = {r.id: r.p for r in points.withColumn("whole", whole).select(
+        "id", hit["polygon_id"].alias("p")).collect()}
+    assert found == wanted
+    leaves, splits = geo.cell_index(polys, cell, most_edges)
+    if most_edges == 40:
+        assert splits
+        most = leaves.select(F.aggregate("_polys", F.lit(0), lambda n, p: n + F.size(p["edges"]))
+                             .alias("n")).agg(F.max("n")).first()[0]
+        assert most <= 40
+
+
 def test_split_keeps_separators_and_overlap():
     body = "# Guide\n## Sowing\n" + "sow the seed early " * 20 + "\n## Water\n" + "water it " * 10
     chunks = text.split_text(body, 120, 30)
