@@ -95,6 +95,55 @@ def hashed_rank(df: DataFrame, keys: Sequence[str], hash_col: str, out: str = "r
     return joined.withColumn(out, F.col("_before") + within).drop("_slice", "_before")
 
 
+#: Rows of a group at the cut that are ranked, and groups whose cuts are broadcast.
+CUT_ROWS, BROADCAST_GROUPS = 5000, 20_000
+
+
+def smallest_hashes(df: DataFrame, keys: Sequence[str], hash_col: str, quota: Column,
+                    out: str = "is_sampled", digits: int = 3, most: int = CUT_ROWS) -> DataFrame:
+    """Flag the rows with the smallest hex hashes of each group, exactly ``quota`` of them.
+
+    ``quota`` is an expression over ``group_total``.  The hash up to which rows are taken is
+    found by counting prefixes (map-side combined) and counting again, with more digits, only
+    inside the prefix where the quota is reached, until few rows lie there.  Rows before the cut
+    are taken by comparison; only those at the cut (``most`` of a group, or rows of one hash) are
+    ranked, so neither a large group nor a small sample of it sorts its rows.  Fewer rows than
+    the quota: all; of rows with one hash any.
+    """
+    own = "_group"
+    keys = list(keys)
+    rows = df if keys else df.withColumn(own, F.lit(0))
+    by = keys or [own]
+    head = F.substring(F.col(hash_col), F.lit(1), F.length("_prefix"))
+    cut = checkpoint(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("group_total")).select(
+        *by, quota.cast("long").alias("_quota"), F.lit("").alias("_prefix"),
+        F.lit(0).cast("long").alias("_taken"), F.col("group_total").alias("_size")))
+    few = cut.count() <= BROADCAST_GROUPS
+    inside = (F.col("_quota") > F.col("_taken")) & (F.col("_quota") < F.col("_taken") + F.col("_size"))
+    deeper = inside & (F.col("_size") > most) & (F.length("_prefix") < 32)
+
+    def with_cut(side: DataFrame) -> DataFrame:
+        return null_safe_join(rows, F.broadcast(side) if few else side, by, "inner")
+
+    while not cut.filter(deeper).isEmpty():
+        longer = F.substring(F.col(hash_col), F.lit(1), F.length("_prefix") + digits)
+        counts = with_cut(cut.filter(deeper)).filter(head == F.col("_prefix")).groupBy(
+            *by, "_quota", "_taken", longer.alias("_next")).agg(F.count(F.lit(1)).alias("_n"))
+        upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_next"))  # 16^digits rows at most
+        placed = counts.withColumn("_upto", F.col("_taken") + upto).filter(
+            (F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
+        cut = checkpoint(cut.filter(~deeper).unionByName(placed.select(
+            *by, "_quota", F.col("_next").alias("_prefix"),
+            (F.col("_upto") - F.col("_n")).alias("_taken"), F.col("_n").alias("_size"))))
+    joined = with_cut(cut)
+    at_cut = inside & (head == F.col("_prefix"))
+    whole = (F.col("_quota") >= F.col("_taken") + F.col("_size")) & (head == F.col("_prefix"))
+    sure = joined.filter(~at_cut).withColumn(out, (head < F.col("_prefix")) | whole)
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(hash_col))
+    ranked = joined.filter(at_cut).withColumn(out, rank <= F.col("_quota") - F.col("_taken"))
+    return sure.unionByName(ranked).drop("_quota", "_prefix", "_taken", "_size", own)
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                    how: str = "left") -> DataFrame:
     """Equi-join that also pairs NULL keys; key columns are kept once (from the left)."""

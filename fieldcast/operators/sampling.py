@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldcast import config as C
-from fieldcast.operators.ranking import hashed_rank, order_hash
+from fieldcast.operators.ranking import order_hash, smallest_hashes
 
 
 def stratified_flag(df: DataFrame, strata: Sequence[str] = ("state_id",),
@@ -16,10 +16,9 @@ def stratified_flag(df: DataFrame, strata: Sequence[str] = ("state_id",),
                     floor: int = C.SAMPLE_FLOOR, seed: int = C.SAMPLE_SEED,
                     out: str = "is_sampled") -> DataFrame:
     """Flag max(floor, ceil(pct * n)) members of each stratum, in hash order."""
-    ranked = hashed_rank(df.withColumn("_hash", order_hash(*key, seed=seed)),
-                         list(strata), "_hash", "_rank", "_total")
-    quota = F.greatest(F.lit(floor), F.ceil(F.col("_total") * F.lit(pct)))
-    return ranked.withColumn(out, F.col("_rank") <= quota).drop("_hash", "_rank", "_total")
+    quota = F.greatest(F.lit(floor), F.ceil(F.col("group_total") * F.lit(pct)))
+    return smallest_hashes(df.withColumn("_hash", order_hash(*key, seed=seed)), strata, "_hash",
+                           quota, out).drop("_hash")
 
 
 def sampling_summary(df: DataFrame, stratum: str = "state_id",
@@ -35,9 +34,8 @@ def sampling_summary(df: DataFrame, stratum: str = "state_id",
 
 def cap_sample(df: DataFrame, n: int, key: Sequence[str], seed: int = C.SAMPLE_SEED) -> DataFrame:
     """Exactly min(n, rows) rows in hash order; the sample is never gathered in one task."""
-    ranked = hashed_rank(df.withColumn("_hash", order_hash(*key, seed=seed)), [],
-                         "_hash", "_rank", "_total")
-    return ranked.filter(F.col("_rank") <= n).drop("_hash", "_rank", "_total")
+    return smallest_hashes(df.withColumn("_hash", order_hash(*key, seed=seed)), [], "_hash",
+                           F.lit(n), "_taken_in").filter("_taken_in").drop("_hash", "_taken_in")
 
 
 def top_up(df: DataFrame, matched: DataFrame, key: str, n: int,
@@ -46,9 +44,6 @@ def top_up(df: DataFrame, matched: DataFrame, key: str, n: int,
     keys = matched.select(key).distinct()
     have = df.join(keys, key, "left_semi")
     rest = df.join(keys, key, "left_anti")
-    need = have.agg((F.lit(n) - F.count(F.lit(1))).alias("x")).scalar()
-    ranked = hashed_rank(rest.withColumn("_hash", order_hash(key, seed=seed)), [],
-                         "_hash", "_rank", "_total")
-    extra = ranked.filter(F.col("_rank") <= need).drop("_hash", "_rank", "_total")
+    extra = cap_sample(rest, max(0, n - have.count()), [key], seed)
     return have.withColumn("picked_as", F.lit("matched")).unionByName(
         extra.withColumn("picked_as", F.lit("filled")))

@@ -128,3 +128,24 @@ def test_quantiles_where_brackets_are_wide_or_miss(spark, accuracy, most_cells):
         rows = frame[frame["g"].isna() if pd.isna(g) else frame["g"] == g][feature].dropna()
         assert part.sort_values("p")["value"].tolist() == pytest.approx(
             np.quantile(rows, probs), rel=1e-12)
+
+
+@pytest.mark.parametrize("digits,most", [(3, 5000), (1, 3)])
+def test_smallest_hashes_against_ranks(spark, digits, most):
+    """Groups of all sizes, null keys, repeated keys, quotas of none and of more than there are."""
+    rng = np.random.default_rng(2)
+    frame = pd.DataFrame({"g": rng.choice(["hot", "cold", "rare", None], 4000,
+                                          p=[0.9, 0.08, 0.01, 0.01]),
+                          "id": rng.integers(0, 3500, 4000)})
+    df = spark.createDataFrame(frame).withColumn("h", ranking.order_hash("id", seed=1))
+    for quota in (F.lit(0), F.lit(25), F.ceil(F.col("group_total") * 0.3), F.lit(10_000)):
+        for keys in (["g"], []):
+            out = ranking.smallest_hashes(df, keys, "h", quota, "s", digits, most).toPandas()
+            assert len(out) == 4000 and list(out.columns) == ["g", "id", "h", "s"]
+            for _, part in (out.groupby("g", dropna=False) if keys else [(0, out)]):
+                n = len(part)
+                want = {"0": 0, "25": 25, "10000": n}.get(
+                    str(quota).split("'")[1], int(np.ceil(n * 0.3)))
+                assert part["s"].sum() == min(n, want)
+                taken, left = part[part["s"]]["h"], part[~part["s"]]["h"]
+                assert not len(taken) or not len(left) or taken.max() <= left.min()
