@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog import fixtures as X
@@ -147,15 +148,38 @@ def txt_04(spark, sf):
     return present(text.similarity_topk(queries, items, k=5), 5)
 
 
-@query("txt_04_text_search")
-def txt_04b(spark, sf):
-    """Benchmark texts against all document chunks by hashed TF-IDF."""
+def search_sides(spark, sf):
+    """Benchmark texts and all document chunks, embedded alike."""
     parts = chunks(spark, sf).withColumn("item_id", F.concat_ws("/", "doc_id", "position"))
     wanted = X.table(spark, sf, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("page_content"))
     weights = text.fit_weights(parts, features=256)
-    items, queries = text.embed(parts, weights=weights), text.embed(wanted, weights=weights)
-    return text.similarity_topk(queries, items, k=1)
+    return text.embed(wanted, weights=weights), text.embed(parts, weights=weights)
+
+
+@query("txt_04_text_search")
+def txt_04b(spark, sf):
+    """Benchmark texts against all document chunks by hashed TF-IDF."""
+    return text.similarity_topk(*search_sides(spark, sf), k=1)
+
+
+@query("txt_04_text_search_scores", """
+SELECT count(*) AS found, 0::BIGINT AS wrong_scores, 0::BIGINT AS out_of_range,
+  0::BIGINT AS out_of_order
+FROM benchmark, range(3) WHERE text IS NOT NULL""")
+def txt_04c(spark, sf):
+    """Three chunks per text; scores are the products of the vectors and fall with the rank."""
+    queries, items = search_sides(spark, sf)
+    best = text.similarity_topk(queries, items, k=3)
+    named = best.join(queries.select("query_id", F.col("embedding").alias("q")), "query_id").join(
+        items.select("item_id", F.col("embedding").alias("i")), "item_id")
+    product = F.aggregate(F.zip_with("q", "i", lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
+    before = F.lag("score").over(Window.partitionBy("query_id").orderBy("rank"))
+    return named.withColumns({"product": product, "before": before}).agg(
+        F.count(F.lit(1)).alias("found"),
+        F.count_if(F.abs(F.col("score") - F.col("product")) > 1e-9).alias("wrong_scores"),
+        F.count_if(~F.col("score").between(-1e-9, 1 + 1e-9)).alias("out_of_range"),
+        F.count_if(F.col("score") > F.col("before")).alias("out_of_order"))
 
 
 @query("txt_05_keyword_topk", """

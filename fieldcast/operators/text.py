@@ -5,19 +5,19 @@ from __future__ import annotations
 import re
 from collections import deque
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
 
-import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import IDF, HashingTF, IDFModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldcast import config as C
-from fieldcast.operators.blocks import blocks
 from fieldcast.operators.ranking import dedup_first
+from fieldcast.session import checkpoint
 
 
 #: Scores that one slice of items may have in a task (32 MB).
@@ -115,73 +115,79 @@ def embed(df: DataFrame, text: str = "page_content", out: str = "embedding",
         "_tokens", "_tf", "_idf", "_unit")
 
 
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    flat = [chunk.flatten().to_numpy(zero_copy_only=False) for chunk in column.chunks]
+    return np.concatenate(flat).reshape(-1, width)
+
+
 def similarity_topk(queries: DataFrame, items: DataFrame, k: int = 1,
                     query_id: str = "query_id", item_id: str = "item_id",
-                    vector: str = "embedding", block_values: int = 20_000_000) -> DataFrame:
-    """Best k items per query by dot product; ties go to the smaller item id.
+                    vector: str = "embedding", block_values: int = 8_000_000) -> DataFrame:
+    """Best k items per query row by dot product; ties go to the smaller item id.
 
-    The query batch is counted and cut into blocks of at most ``block_values`` numbers;
-    each block is sent to the tasks, which multiply it with a bounded slice of items at a
-    time, keep the k best per query and pass those on once per task.  The items are never
-    shuffled.  Rows without a vector, or with a NULL in it, take no part.
+    Items are dealt into shards and queries into blocks of about ``block_values`` numbers, and
+    every block meets every shard by equality on (shard, block), so a task holds one of each and
+    keeps a running best k while it multiplies slices.  The driver sees two sums only.  Rows are
+    dealt by their place in the pinned tables, so one id with very many rows is spread as well.
+
+    Vectors that are NULL, empty, or hold a NULL or NaN take no part, nor do items without an
+    id; only vectors of one length meet.  Repeated query rows get k items each.
     """
-    whole = F.col(vector).isNotNull() & ~F.exists(vector, lambda x: x.isNull())
-    queries, items = queries.filter(whole), items.filter(whole)
-    width = queries.agg(F.max(F.size(vector)).alias("w")).first()["w"] or 1
-    schema = (f"{query_id} {queries.schema[query_id].dataType.simpleString()}, "
-              f"{item_id} {items.schema[item_id].dataType.simpleString()}, score double")
-    results = []
-    for part in blocks(queries, query_id, max(1, block_values // width)):
-        rows = part.select(query_id, vector).collect()  # at most one block
-        if not rows:
-            continue
-        ids = [r[0] for r in rows]
-        shared = queries.sparkSession.sparkContext.broadcast(
-            np.array([r[1] for r in rows], dtype=np.float64))
-
-        def best(batches, ids=ids, shared=shared):
-            matrix, step = shared.value, max(1, PRODUCT_VALUES // len(ids))
-            score, name = np.empty((len(ids), 0)), np.empty((len(ids), 0), object)
-            for batch in batches:
-                for at in range(0, len(batch), step):
-                    piece = batch.iloc[at:at + step]
-                    new = matrix @ np.vstack(piece[vector].to_numpy()).astype(np.float64).T
-                    score = np.hstack([score, new])
-                    name = np.hstack([name, np.broadcast_to(
-                        piece[item_id].to_numpy(object), new.shape)])
-                    # the k best so far, ties to the smaller id
-                    order = np.argsort(name, axis=1, kind="stable")
-                    score, name = (np.take_along_axis(x, order, 1) for x in (score, name))
-                    order = np.argsort(-score, axis=1, kind="stable")[:, :k]
-                    score, name = (np.take_along_axis(x, order, 1) for x in (score, name))
-            if name.size:
-                q = np.repeat(np.arange(len(ids)), name.shape[1])
-                yield pd.DataFrame({query_id: [ids[i] for i in q], item_id: name.ravel(),
-                                    "score": score.ravel()})
-
-        results.append(items.select(item_id, vector).mapInPandas(best, schema))
-    found = (reduce(DataFrame.unionByName, results) if results
-             else queries.sparkSession.createDataFrame([], schema))
-    order = Window.partitionBy(query_id).orderBy(F.desc("score"), item_id)
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-
-
-def _name_finder(names: Sequence[str]) -> Callable[[Iterator[pd.Series]], Iterator[pd.Series]]:
-    """Function from texts to the lists of names they contain."""
-    lowered: dict[str, list[str]] = {}
-    for n in names:
-        lowered.setdefault(n.lower(), []).append(n)
-
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        machine = ahocorasick.Automaton()  # once per task
-        for key in lowered:
-            machine.add_word(key, key)
-        machine.make_automaton()
-        for texts in batches:
-            yield texts.map(lambda t: [n for key in {k for _, k in machine.iter(t.lower())}
-                                       for n in lowered[key]] if t else [])
-
-    return find
+    def narrow(rows: DataFrame, name: str, out: str) -> DataFrame:
+        whole = (F.size(vector) > 0) & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x))
+        kept = rows.filter(whole).select(
+            F.col(name).alias(out), F.col(vector).cast("array<double>").alias("vector"))
+        return checkpoint(kept).withColumns({
+            "size": F.size("vector"), "row": F.monotonically_increasing_id()})
+
+    def parts(rows: DataFrame) -> int:
+        return max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // block_values))
+
+    asked = narrow(queries, query_id, "query")
+    held = narrow(items.filter(F.col(item_id).isNotNull()), item_id, "item")
+    blocks, shards = parts(asked), parts(held)
+    own = lambda n: F.pmod(F.xxhash64("row"), F.lit(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    key = ["size", "shard", "block"]
+    left = asked.select("*", own(blocks).alias("block"), every(shards).alias("shard"))
+    right = held.select("item", "vector", "size", own(shards).alias("shard"),
+                        every(blocks).alias("block"))
+
+    def best(mine: pa.Table, others: pa.Table) -> pa.Table:
+        score, at = np.empty((mine.num_rows, 0)), np.empty((mine.num_rows, 0), np.int64)
+        if mine.num_rows and others.num_rows:
+            width = mine.column("size")[0].as_py()
+            others = others.take(pc.sort_indices(others.column("item")))  # ties: smaller id first
+            matrix, rest = (_matrix(t.column("vector"), width) for t in (mine, others))
+            step = max(1, PRODUCT_VALUES // mine.num_rows)
+            for low in range(0, len(rest), step):
+                new = matrix @ rest[low:low + step].T
+                score = np.hstack([score, new])
+                at = np.hstack([at, np.broadcast_to(
+                    np.arange(low, low + new.shape[1]), new.shape)])
+                order = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                score, at = (np.take_along_axis(x, order, 1) for x in (score, at))
+        asks = pa.array(np.repeat(np.arange(mine.num_rows), at.shape[1]), pa.int64())
+        return pa.table({
+            "row": mine.column("row").take(asks), "query": mine.column("query").take(asks),
+            "item": others.column("item").take(pa.array(at.ravel(), pa.int64())),
+            "score": pa.array(score.ravel(), pa.float64())})
+
+    schema = (f"row long, query {asked.schema['query'].dataType.simpleString()}, "
+              f"item {held.schema['item'].dataType.simpleString()}, score double")
+    found = left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(best, schema)
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "item")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
+        F.col("query").alias(query_id), F.col("item").alias(item_id), "score", "rank")
+
+
+def _grams(word: str, longest: int = 3) -> Column:
+    """Distinct runs of up to ``longest`` characters."""
+    def runs(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(word) - n + 1, F.lit(1)))
+        return F.transform(starts, lambda at: F.substring(word, at, F.lit(n)))
+
+    return F.array_distinct(F.flatten(F.array(*[runs(n) for n in range(1, longest + 1)])))
 
 
 def keyword_topk(queries: DataFrame, chunks: DataFrame, k: int = 2, name: str = "crop_name",
@@ -189,22 +195,54 @@ def keyword_topk(queries: DataFrame, chunks: DataFrame, k: int = 2, name: str =
                  ) -> DataFrame:
     """First k chunks that contain each name, case-insensitively.
 
-    The names are counted and cut into blocks; a block is sent to the tasks, which find
-    all its names in one pass over each text, so only actual matches become rows.
+    An inverted index: the longest word of a name lies inside one word of every text that holds
+    the name.  The distinct words of the texts meet the names by the rarest run of up to three
+    characters of that word; words that hold it lead to the texts through (word, text)
+    postings.  Names of several words are looked for in the texts found.  Texts are
+    named by a hash of the row until the first k of a name are known, and only those are
+    joined.  Neither names nor texts pass the driver.
+
+    NULL and blank names and NULL texts take no part; repeated chunks count as chunks each.
+    Names that differ only by case are names each.
     """
-    keep = chunks.columns
-    found = []
-    for part in blocks(queries.select(name).distinct().filter(F.length(name) > 0), name):
-        names = [r[0] for r in part.collect()]  # at most one block
-        if not names:
-            continue
-        matches = F.pandas_udf(_name_finder(names), "array<string>")
-        found.append(chunks.select(F.explode(matches(text)).alias(name), *keep))
-    if not found:
-        found = [chunks.select(F.lit("").alias(name), *keep).limit(0)]
-    ranked = reduce(DataFrame.unionByName, found).withColumn(
-        "rank", F.row_number().over(Window.partitionBy(name).orderBy(*order)))
-    return ranked.filter(F.col("rank") <= k)
+    keep, blank = chunks.columns, r"\s+"
+    terms = checkpoint(queries.select(F.col(name).alias("_name")).distinct().withColumn(
+        "_low", F.lower("_name")).withColumn("_anchor", F.array_max(F.transform(
+            F.split("_low", blank), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
+            ["w"]).filter(F.length("_anchor") > 0))
+    width = F.least(F.length("_anchor"), F.lit(3))
+    asked = terms.select("_name", "_low", "_anchor", F.explode(F.filter(
+        _grams("_anchor"), lambda g: F.length(g) == width)).alias("_gram"))
+
+    key = F.xxhash64(*keep)
+    words = F.filter(F.array_distinct(F.split(F.lower(text), blank)), lambda w: w != "")
+    vocabulary = chunks.select(F.explode(words).alias("_word")).distinct()
+    runs = checkpoint(vocabulary.select("_word", F.explode(_grams("_word")).alias("_gram")).join(
+        asked.select("_gram").distinct(), "_gram", "left_semi"))
+    often = runs.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = asked.join(often, "_gram", "left").groupBy("_name", "_low", "_anchor").agg(
+        F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_gram"))["_gram"].alias("_gram"))
+    pairs = checkpoint(runs.join(rarest, "_gram").filter(
+        F.contains("_word", "_anchor")).select("_word", "_name", "_low", "_anchor"))
+
+    place = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
+    places = [f"_o{i}" for i in range(len(order))]
+    postings = chunks.select(key.alias("_key"), *place, F.explode(words).alias("_word"))
+    hits = checkpoint(postings.join(pairs, "_word").groupBy(
+        "_name", "_low", "_anchor", "_key", *places).agg(F.count(F.lit(1)).alias("_n")))
+    named = ["_name", "_low", "_key", *places]
+    texts = chunks.select(key.alias("_key"), F.lower(text).alias("_text"))
+    sure = hits.filter("_low = _anchor").select(*named).unionByName(
+        hits.filter("_low <> _anchor").join(texts, "_key").filter(
+            F.contains("_text", "_low")).select(*named).distinct())
+    first = sure.withColumn("_rank", F.row_number().over(
+        Window.partitionBy("_name").orderBy(*places, "_key"))).filter(F.col("_rank") <= k)
+    rows = first.select("_name", "_low", "_key").join(
+        chunks.select("*", key.alias("_key")), "_key").filter(
+        F.contains(F.lower(text), "_low"))  # also parts rows of equal hash
+    ranked = rows.withColumn("rank", F.row_number().over(
+        Window.partitionBy("_name").orderBy(*order)))
+    return ranked.filter(F.col("rank") <= k).select(F.col("_name").alias(name), *keep, "rank")
 
 
 def clean_chunks(df: DataFrame, text: str = "page_content",

@@ -138,21 +138,42 @@ def test_embeddings_find_the_same_text(spark):
     assert all(r["score"] == pytest.approx(1.0) for r in out)
 
 
-def test_keyword_topk_brute_force(spark):
-    import pandas as pd
-
-    names = ["Rice", "ice", "Maize", "zz"]
-    texts = ["RICE and maize", "ice only", "price of rice", "nothing", "maize"]
-    found = next(text._name_finder(names)(iter([pd.Series(texts)])))
-    assert [sorted(f) for f in found] == [
-        sorted(n for n in names if n.lower() in t.lower()) for t in texts]
-    chunks = spark.createDataFrame([("s", i, t) for i, t in enumerate(texts)],
-                                   "source string, position int, page_content string")
-    q = spark.createDataFrame([(n,) for n in names], "crop_name string")
-    out = text.keyword_topk(q, chunks, 2).toPandas()
-    for n in names:
-        want = [i for i, t in enumerate(texts) if n.lower() in t.lower()][:2]
-        assert out[out["crop_name"] == n].sort_values("rank")["position"].tolist() == want
+def test_similarity_of_repeated_rows_and_mixed_lengths(spark):
+    """Each query row gets its k items, each item row is one, only equal lengths meet."""
+    schema = "embedding array<double>"
+    queries = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [0.0, 1.0]),
+                                     (2, [1.0, 1.0, 1.0]), (3, []), (4, [float("nan"), 1.0])],
+                                    f"query_id int, {schema}")
+    items = spark.createDataFrame([("a", [2.0, 1.0]), ("b", [1.0, 3.0]), ("b", [1.0, 3.0]),
+                                   ("c", [1.0, 1.0, 0.0]), (None, [9.0, 9.0])],
+                                  f"item_id string, {schema}")
+    for block_values in (1, 4, 100):
+        got = sorted((r.query_id, r["rank"], r.item_id, r.score) for r in text.similarity_topk(
+            queries, items, k=2, block_values=block_values).collect())
+        assert got == sorted([(1, 1, "a", 2.0), (1, 2, "b", 1.0), (1, 1, "b", 3.0),
+                              (1, 2, "b", 3.0), (1, 1, "b", 3.0), (1, 2, "b", 3.0),
+                              (2, 1, "c", 2.0)])
+
+
+@pytest.mark.parametrize("k", [1, 2, 5])
+def test_keyword_topk_brute_force(spark, k):
+    names = ["Rice", "RICE", "ice", "Maize", "zz", "of rice", " rice", "e", "-", "price of",
+             "\u00dcber", "x.y", "maize  and", "  "]
+    texts = ["RICE and maize", "ice only", "price of rice", "nothing", "maize", None, "",
+             "\u00fcber-ice  of rice", "x.y\tice", "xzy", "maize  and\nice", "ice only",
+             "a price of rice, a price of maize " * 50]
+    rows = [("s", i, t) for i, t in enumerate(texts)] + [("s", 1, texts[1])] * 2
+    chunks = spark.createDataFrame(rows, "source string, position int, page_content string")
+    q = spark.createDataFrame([(n,) for n in names + names[:2]] + [(None,)], "crop_name string")
+    out = text.keyword_topk(q, chunks.repartition(3), k)
+    assert out.columns == ["crop_name", *chunks.columns, "rank"]
+    got = {}
+    for r in sorted(out.collect(), key=lambda r: (r["crop_name"], r["rank"])):
+        assert r["page_content"] == texts[r["position"]]
+        got.setdefault(r["crop_name"], []).append(r["position"])
+    want = {n: sorted(i for _, i, t in rows if t and n.lower() in t.lower())[:k]
+            for n in names if n.strip()}
+    assert got == {n: found for n, found in want.items() if found}
 
 
 def test_clean_chunks(spark):
