@@ -7,15 +7,18 @@ from the even-odd rule.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldcast.operators.blocks import best_of, blocks
 from fieldcast.session import checkpoint
 
 EARTH_RADIUS = 6378137.0
 #: Edges that a cell may meet before it is cut into four, and the most cuts.
 CELL_EDGES, CELL_LEVELS = 256, 16
+#: The most halvings of the extent in the search for nearest polygons.
+NEAREST_LEVELS = 20
 
 
 def with_edges(polys: DataFrame) -> DataFrame:
@@ -194,35 +197,115 @@ def segment_distance(x: Column, y: Column, e: Column) -> Column:
     return F.hypot(x - e["x1"] - t * dx, y - e["y1"] - t * dy)
 
 
-def nearest_polygon(points: DataFrame, polys: DataFrame, lng: str = "lng", lat: str = "lat",
-                    per_block: int = 1000) -> DataFrame:
+def _box_bounds(size: float, x0: float, y0: float) -> tuple[Column, Column]:
+    """Least and greatest distance of a point (_px, _py) to the places of cell (cx, cy)."""
+    def sides(p: Column, c: Column, origin: float) -> tuple[Column, Column]:
+        low = F.lit(origin) + c * F.lit(size) - p
+        high = low + size
+        return (F.greatest(F.lit(0.0), low, -high), F.greatest(F.abs(low), F.abs(high)))
+
+    (near_x, far_x), (near_y, far_y) = (sides(F.col("_px"), F.col("cx"), x0),
+                                        sides(F.col("_py"), F.col("cy"), y0))
+    return F.hypot(near_x, near_y), F.hypot(far_x, far_y)
+
+
+def _edge_cells(edges: DataFrame) -> tuple[DataFrame, float, float, float, int]:
+    """Edges by the grid cells near them: the rows, cell size, origin and height of the grid.
+
+    Long edges are cut into steps of a cell, so they name few cells that they do not meet.  The
+    cell is the median edge, but large enough for five steps an edge on average and for
+    `NEAREST_LEVELS` halvings of the whole extent.  ``held`` marks cells that surely hold a place
+    of the edge.
+    """
+    length = F.hypot(F.col("e.x2") - F.col("e.x1"), F.col("e.y2") - F.col("e.y1"))
+    found = edges.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(length).alias("sum"),
+        F.approx_percentile(length, 0.5).alias("mid"),
+        F.min(F.least("e.x1", "e.x2")).alias("x0"), F.min(F.least("e.y1", "e.y2")).alias("y0"),
+        F.max(F.greatest("e.x1", "e.x2")).alias("x1"),
+        F.max(F.greatest("e.y1", "e.y2")).alias("y1")).first()
+    x0, y0 = found["x0"] or 0.0, found["y0"] or 0.0
+    extent = max((found["x1"] or 0.0) - x0, (found["y1"] or 0.0) - y0, 1.0)
+    size = max(found["mid"] or 0.0, (found["sum"] or 0.0) / (4 * max(found["n"], 1)),
+               extent / (1 << NEAREST_LEVELS))
+    height = max(0, math.ceil(math.log2(extent / size + 1)))
+    steps = F.greatest(F.lit(1), F.ceil(length / size))
+    cut = edges.withColumn("_n", steps).withColumn(
+        "_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+
+    def place(field: str, step: Column, origin: float) -> Column:
+        return F.col(f"e.{field}1") + (F.col(f"e.{field}2") - F.col(f"e.{field}1")) * (
+            step / F.col("_n")) - origin
+
+    def cell(at: Column) -> Column:
+        return F.greatest(F.lit(0).cast("long"), F.floor(at / size))
+
+    def span(field: str, origin: float) -> Column:
+        ends = [place(field, F.col("_i") + i, origin) for i in (0, 1)]
+        return F.explode(F.sequence(cell(F.least(*ends)), cell(F.greatest(*ends))))
+
+    rows = cut.withColumns({"_hx": cell(place("x", F.col("_i"), x0)),
+                            "_hy": cell(place("y", F.col("_i"), y0))})
+    rows = rows.withColumn("cx", span("x", x0)).withColumn("cy", span("y", y0))
+    held = (F.col("cx") == F.col("_hx")) & (F.col("cy") == F.col("_hy"))
+    return (rows.groupBy("cx", "cy", "polygon_id", "e").agg(F.max(held).alias("held")),
+            size, x0, y0, height)
+
+
+def nearest_polygon(points: DataFrame, polys: DataFrame, lng: str = "lng", lat: str = "lat"
+                    ) -> DataFrame:
     """Nearest polygon of each point, distances in Web Mercator; none without coordinates.
 
-    Meant for the few points no polygon holds.  Each row scans the polygons as an array
-    value; with more polygons than one block holds, the blocks' minima are compared.
+    Best-first search down a grid of edges, two levels a round, for all places at once.  A place
+    keeps the cells whose least distance is not over the greatest distance of some cell known to
+    hold a part of an edge, and compares edges in the last cells only.  Cells meet by equality,
+    no point scans all polygons, and no task holds a polygon.  Equal distances go to the smaller
+    id; points in the same place are searched once.
     """
     def project(e: Column) -> Column:
         x1, y1 = mercator(e["x1"], e["y1"])
         x2, y2 = mercator(e["x2"], e["y2"])
         return F.struct(x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
 
-    metric = with_edges(polys).withColumn("edges", F.transform("edges", project))
     px, py = mercator(F.col(lng), F.col(lat))
-    located = points.withColumns({"_px": px, "_py": py})
-    def entry(p: Column) -> Column:
-        distance = F.array_min(F.transform(p["edges"], lambda e: segment_distance(
-            F.col("_px"), F.col("_py"), e)))
-        # without a distance (no coordinates, no edges) a polygon is no candidate
-        return F.when(distance.isNotNull(), F.struct(
-            distance.alias("distance"), p["polygon_id"].alias("polygon_id"),
-            p["state"].alias("state"), p["district"].alias("district")))
-
-    nearest = best_of(located, blocks(metric, "polygon_id", per_block),
-                      ["polygon_id", "state", "district", "edges"], entry, "_best")
-    return nearest.withColumns({
-        "polygon_id": F.col("_best.polygon_id"), "state": F.col("_best.state"),
-        "district": F.col("_best.district"), "distance": F.col("_best.distance"),
-    }).drop("_px", "_py", "_best")
+    edged = with_edges(polys)
+    names = edged.select("polygon_id", "state", "district")
+    edges = checkpoint(edged.select("polygon_id", F.explode(
+        F.transform("edges", project)).alias("e")).filter(
+        "e.x1 + e.y1 + e.x2 + e.y2 IS NOT NULL"))
+    rows, size, x0, y0, height = _edge_cells(edges)
+    rows = checkpoint(rows)
+    leaves = checkpoint(rows.groupBy("cx", "cy").agg(F.max("held").alias("held")))
+    spots = points.select(F.col(lng).alias("_lng"), F.col(lat).alias("_lat"), px.alias("_px"),
+                          py.alias("_py")).filter(
+        "_px IS NOT NULL AND _py IS NOT NULL AND NOT isnan(_px) AND NOT isnan(_py)").distinct()
+    spot = ["_lng", "_lat", "_px", "_py"]
+    near = checkpoint(spots).withColumns({"cx": F.lit(0).cast("long"), "cy": F.lit(0).cast("long")})
+    level = height
+    while level > 0:
+        down = min(2, level)
+        level -= down
+        width = float(size * (1 << level))
+        part = F.sequence(F.lit(0).cast("long"), F.lit((1 << down) - 1).cast("long"))
+        near = near.withColumn("_i", F.explode(part)).withColumn("_j", F.explode(part)).withColumns({
+            "cx": F.col("cx") * (1 << down) + F.col("_i"),
+            "cy": F.col("cy") * (1 << down) + F.col("_j")}).drop("_i", "_j")
+        cells = leaves.groupBy(F.shiftright("cx", level).alias("cx"),
+                               F.shiftright("cy", level).alias("cy")).agg(
+            F.max("held").alias("held"))
+        least, greatest = _box_bounds(width, x0, y0)
+        bound = F.min(F.when(F.col("held"), greatest)).over(Window.partitionBy(*spot))
+        near = checkpoint(near.join(cells, ["cx", "cy"]).withColumns({
+            "_least": least, "_bound": bound}).filter(  # a millimetre for rounding
+            F.col("_least") <= F.col("_bound") * (1 + 1e-9) + 1e-3).select(*spot, "cx", "cy"))
+    distance = segment_distance(F.col("_px"), F.col("_py"), F.col("e"))
+    best = near.join(rows, ["cx", "cy"]).groupBy("_lng", "_lat").agg(
+        F.min(F.struct(distance.alias("distance"), "polygon_id")).alias("_best"))
+    found = best.select("_lng", "_lat", "_best.polygon_id", "_best.distance").join(
+        names, "polygon_id")
+    out = points.drop("polygon_id", "state", "district", "distance")
+    return out.join(found, (F.col(lng) == F.col("_lng")) & (F.col(lat) == F.col("_lat")),
+                    "left").select(*out.columns, "polygon_id", "state", "district", "distance")
 
 
 def enrich_points(points: DataFrame, polys: DataFrame, cell: float = 1.0) -> DataFrame:

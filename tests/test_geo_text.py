@@ -40,12 +40,61 @@ def test_polygons_with_holes_and_parts(spark, polygons):
     assert near[2][0] == "A" and near[5][0] == "A"
     one_degree = np.pi / 180 * geo.EARTH_RADIUS
     assert near[2][1] == pytest.approx(one_degree, rel=1e-3)
-    blocked = geo.nearest_polygon(df.filter("id IN (2, 5)"), polygons, per_block=1).collect()
-    assert {r["id"]: r["distance"] for r in blocked} == pytest.approx(
-        {k: v[1] for k, v in near.items()})
     assert geo.enrich_points(df, polygons).filter("state IS NULL").count() == 0
 
 
+def _mercator(lng, lat):
+    return (geo.EARTH_RADIUS * np.radians(lng),
+            geo.EARTH_RADIUS * np.log(np.tan(np.pi / 4 + np.radians(lat) / 2)))
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-3])
+def test_nearest_polygon_brute_force(spark, scale):
+    """Long and short edges, a dense shape, far points, ties, repeats, points without place."""
+    rng = np.random.default_rng(8)
+
+    def star(cx, cy, radius, corners):
+        turn = np.linspace(0, 2 * np.pi, corners, endpoint=False)
+        ring = np.stack([cx + radius * np.cos(turn), cy + radius * np.sin(turn)], 1) * scale
+        return [[float(a), float(b)] for a, b in [*ring, ring[0]]]
+
+    box = [[x * scale, y * scale] for x, y in [(-20.0, -9.0), (21.0, -9.0), (21.0, -8.0),
+                                               (-20.0, -8.0), (-20.0, -9.0)]]
+    shapes = [("dense", [star(3, 3, 0.5, 500), star(3, 3, 0.2, 9)]), ("long", [box]),
+              ("twin", [box]), ("dot", [[[9 * scale, 9 * scale]] * 3]), ("none", [])] + [
+        (f"s{i}", [star(*rng.uniform(-9, 9, 2), rng.uniform(0.05, 2), 7)]) for i in range(9)]
+    polys = spark.createDataFrame([(n, n.upper(), "d", r) for n, r in shapes],
+                                  "polygon_id string, state string, district string, "
+                                  "rings array<array<array<double>>>")
+    places = [(a * scale, b * scale) for a, b in [*rng.uniform(-12, 12, (150, 2)), (3.0, 3.0),
+                                                  (9.0, 9.0), (0.0, -20.0), (-80.0, 60.0)]]
+    places += places[:3] + [(float(170), -80.0)] + [tuple(p) for p in shapes[0][1][0][:5]]
+    rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(places)]
+    points = spark.createDataFrame(rows + [(-1, None, 1.0), (-2, float("nan"), 1.0)],
+                                   "id long, lng double, lat double")
+    got = {r["id"]: r for r in geo.nearest_polygon(points, polys).collect()}
+    assert len(got) == len(rows) + 2
+    assert got[-1]["polygon_id"] is None and got[-2]["polygon_id"] is None
+    for i, lng, lat in rows:
+        x, y = _mercator(lng, lat)
+        near = []
+        for name, rings in shapes:
+            for ring in rings:
+                px, py = _mercator(*np.array(ring).T)
+                dx, dy = np.diff(px), np.diff(py)
+                length = dx * dx + dy * dy
+                along = np.divide((x - px[:-1]) * dx + (y - py[:-1]) * dy, length,
+                                  out=np.zeros_like(length), where=length > 0).clip(0, 1)
+                near.append((np.hypot(x - px[:-1] - along * dx, y - py[:-1] - along * dy).min(),
+                             name))
+        least = min(near)[0]
+        assert got[i]["distance"] == pytest.approx(least, rel=1e-9, abs=1e-6)
+        assert got[i]["polygon_id"] in {n for d, n in near if d <= least * (1 + 1e-9) + 1e-6}
+        assert got[i]["polygon_id"] != "twin" and got[i]["state"] == got[i]["polygon_id"].upper()
+    assert geo.nearest_polygon(points, polys.limit(0)).filter("polygon_id IS NULL").count() == len(
+        rows) + 2
+
+
 @pytest.mark.parametrize("cell,most_edges", [(1.0, 256), (8.0, 40)])
 def test_one_huge_polygon_among_small_ones(spark, cell, most_edges):
     """Stars with a hole, a jagged giant over all: the grid agrees with all edges of each."""
