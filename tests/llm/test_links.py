@@ -306,6 +306,26 @@ def test_neighbour_edges(spark):
         assert r.vec_id == [i for i in range(300) if i != r.query_id][r.rank - 1]
 
 
+def test_repeated_queries_and_a_hot_id(spark):
+    rows = [(i, [float(i % 7 + 1), float(i % 11), 1.0]) for i in range(1, 60)]
+    rows += [(50, rows[49][1])] * 200 + [(100, [1.0, 2.0, 3.0]), (100, [3.0, 2.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in neighbours.search(frame, frame.where("vec_id % 50 = 0"), shard_rows=20,
+                               budget=1.0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.rank, r.vec_id, round(r.score, 9)))
+
+    def near(own, vector, k=5):
+        v = np.array(vector)
+        score = sorted((-round(float((v * w).sum() / np.sqrt((v * v).sum() * (w * w).sum())), 9), i)
+                       for i, w in ((i, np.array(x)) for i, x in rows) if i != own)
+        return [(at + 1, i, -s) for at, (s, i) in enumerate(score[:k])]
+
+    assert got[50] == near(50, rows[49][1])
+    assert sorted(got[100]) == sorted(near(100, [1.0, 2.0, 3.0]) + near(100, [3.0, 2.0, 1.0]))
+    assert set(got) == {50, 100}
+
+
 # pipeline
 
 def test_pipeline_stage_by_stage(spark):
