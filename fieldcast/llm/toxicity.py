@@ -13,7 +13,8 @@ counts features per class there, the `MAX_FEATURES` with the clearest log-odds a
 regression runs on their sparse rows.  Scoring covers every document and its whole text.
 
 Defined cases: null and empty texts have no features and get the model's base severity; words
-are compared lower-cased; repeated rows are scored each; without labels, or with one class only,
+are compared lower-cased; repeated rows are scored each; equal texts are learned from once, with
+the smallest of their labels; without labels, or with one class only,
 nothing is learned and no document is toxic; an empty table gives no rows.
 """
 
@@ -167,8 +168,10 @@ def ordinal_fit(rows: list[np.ndarray], grades: np.ndarray, width: int, penalty:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SAMPLE_ROWS,
         text: str = "text", doc_id: str = "doc_id", seed: int = SEED) -> Model:
     """Model learned from labelled documents that are not held out."""
-    sample = common.pinned(labelled.sample(docs, labels, label, rows, seed, text, doc_id)
-                           .dropDuplicates(["text"]).repartition("doc_id"))
+    found = labelled.sample(docs, labels, label, rows, seed, text, doc_id)
+    sample = common.pinned(found.groupBy("text").agg(
+        F.min("doc_id").alias("doc_id"), F.min("label").alias("label")).select(
+        "doc_id", "text", "label").repartition("doc_id"))
     size = {r.c: r.n for r in sample.groupBy((F.col("label") > 0).alias("c"))
             .agg(F.count("*").alias("n")).collect()}
     if not size.get(True) or not size.get(False):
