@@ -3,13 +3,15 @@
 Two zstandard dictionaries are built from labelled texts, one of good, one of bad documents.  A
 whole text is compressed block by block with each; its normalised difference
 (good size - bad size) / plain size is positive where the bad dictionary helps more.  A logistic
-regression on the difference, its square and the plain compression ratio (text that repeats
-itself compresses far better than either dictionary explains) turns it into a probability.
+regression on the difference, its square, the plain compression ratio (text that repeats itself
+compresses far better than either dictionary explains), the ratio with the good dictionary and its
+square turns it into a probability.
 
 Labels are learned only from documents that are not held out.  At most `DICT_ROWS` labelled
-documents of each class, with `DICT_CHARS` characters each, go into the dictionaries, and at most
-`FIT_ROWS` others, whole, into the calibration; both are those whose ids hash lowest.  Only the
-text is an input of a score.
+documents of each class go into the dictionaries, and at most `FIT_ROWS` others, whole, into the
+calibration; both are those whose ids hash lowest.  For the dictionaries a text is cut wholly into
+pieces of `PIECE` characters, of which the `PIECES` that hash lowest are taken, so every position
+may be among them.  Only the text is an input of a score.
 
 Defined cases: null and empty texts have difference 0 and ratio 1; without labels of both
 classes every score is the share of good labels (0.5 without any); repeated rows score alike;
@@ -24,13 +26,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldcast.llm import common, labelled
 
 DICT_ROWS = 1500
-DICT_CHARS = 4096
+PIECE, PIECES = 1024, 4
 DICT_BYTES = 64 << 10
 FIT_ROWS = 6000
 BLOCK = 2048
@@ -131,6 +133,19 @@ def calibrate(rows: np.ndarray, labels: np.ndarray, penalty: float = 1e-5) -> np
     return out
 
 
+def pieces(text: str, doc_id: str, seed: int) -> Column:
+    """At most `PIECES` pieces of a text, chosen by hash and joined in their order."""
+    numbers = F.sequence(F.lit(0), F.ceil(F.length(text) / PIECE).cast("int"))
+    turns = F.transform(numbers, lambda i: F.struct(F.xxhash64(F.lit(seed), doc_id, i).alias("turn"),
+                                                       i.alias("i")))
+    # the last number is one too many: it stands for a piece only in an empty text
+    all_but_last = F.slice(turns, 1, F.greatest(F.size(turns) - 1, F.lit(1)))
+    chosen = F.transform(F.slice(F.array_sort(all_but_last), 1, PIECES), lambda t: t["i"])
+    cut = F.transform(F.array_sort(chosen), lambda i: F.substring(F.col(text), i * PIECE + 1,
+                                                                 F.lit(PIECE)))
+    return F.array_join(cut, "")
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", dict_rows: int = DICT_ROWS,
         fit_rows: int = FIT_ROWS, text: str = "text", doc_id: str = "doc_id",
         seed: int = SEED) -> Model:
@@ -146,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", dict_rows: i
         # at most half of a class goes into its dictionary, the rest is for the calibration
         half = int(rows.where(one).count() / 2)
         got = (rows.where(one).orderBy(turn).limit(min(dict_rows, half))
-               .select("doc_id", F.substring("text", 1, DICT_CHARS).alias("text")).collect())
+               .select("doc_id", pieces("text", "doc_id", seed).alias("text")).collect())
         picked[name] = [r.text.encode() for r in got]
         used += [r.doc_id for r in got]
     if not picked["good"] or not picked["bad"]:

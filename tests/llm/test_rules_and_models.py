@@ -170,8 +170,37 @@ def test_calibration_takes_ids_from_the_whole_range(spark):
     assert len(model.weights) == 6
 
 
+def test_dictionary_pieces_reach_every_position(spark):
+    size, most = quality_classifier.PIECE, quality_classifier.PIECES
+    letter = lambda i: chr(ord("a") + i)
+    texts = [(d, "".join(letter(i) * size for i in range(20)) + "z" * 5) for d in range(60)]
+    texts += [(100, ""), (101, "short"), (102, "a" * size), (103, "a" * size + "b")]
+    got = {r.doc_id: r.cut for r in spark.createDataFrame(texts, "doc_id long, text string").select(
+        "doc_id", quality_classifier.pieces("text", "doc_id", 1).alias("cut")).collect()}
+    assert all(got[d] == dict(texts)[d] for d in (100, 101, 102, 103))
+    seen = set()
+    for d in range(60):
+        runs = [c for c in dict.fromkeys(got[d])]
+        assert len(runs) == most and runs == sorted(runs) and len(got[d]) <= most * size
+        seen.update(runs)
+    assert seen == {letter(i) for i in range(20)} | {"z"}
+
+
 # toxicity
 
+def test_equal_texts_take_their_smallest_label(spark):
+    rows = [(i, f"plain words number {i}", 0) for i in range(40)]
+    rows += [(100 + i, f"vile slur{i % 3} vile slur", 1) for i in range(40)]
+    rows += [(200 + i, "vile slur0 vile slur", 0) for i in range(5)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    alone = [r for r in rows if r[1] != "vile slur0 vile slur"] + [rows[-1]]
+    some = docs.where(F.col("doc_id").isin([r[0] for r in alone]))
+    first = toxicity.fit(docs, labels)
+    assert first == toxicity.fit(docs.orderBy(F.desc("doc_id")), labels)
+    assert first == toxicity.fit(some, labels)
+
+
 def test_toxicity_on_held_out_documents(spark):
     big = "/root/testdata/sf0.1"
     rows = queries.op4_toxicity(spark, big).collect()
