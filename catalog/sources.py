@@ -136,12 +136,16 @@ def src_09b(spark, sf):
     return readers.file_summary(readers.file_inventory(spark, sf, "*.parquet"))
 
 
+#: Documents in one text file: a whole file is one row, so files must not grow with the table.
+FILE_DOCUMENTS = 200
+
+
 @query("src_13_load_documents", """
 SELECT lang, sum(length(text))::BIGINT + count(*) AS characters FROM documents GROUP BY lang""")
 def src_13(spark, sf):
     path = _folder(spark, "documents")
-    X.table(spark, sf, "documents").select("text", "lang").repartition("lang").write.partitionBy(
-        "lang").text(path)
+    X.table(spark, sf, "documents").select("text", "lang").write.option(
+        "maxRecordsPerFile", FILE_DOCUMENTS).partitionBy("lang").text(path)
     loaded = readers.load_documents(spark, f"{path}/*/*.txt").select(
         "text", F.regexp_extract(F.col("_metadata.file_path"), "lang=([^/]+)/", 1).alias("lang"))
     return loaded.groupBy("lang").agg(F.sum(F.length("text")).alias("characters"))

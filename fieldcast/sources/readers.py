@@ -143,7 +143,7 @@ def load_polygons(spark: SparkSession, path: str, per_line: bool = False) -> Dat
 
 
 def load_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Whole text files with their file name as ``source``."""
+    """Whole text files with their file name as ``source``; each file must fit a task's memory."""
     return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_name").alias("source"), F.col("value").alias("text")).filter(
         F.trim("text") != "")

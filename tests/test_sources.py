@@ -80,3 +80,26 @@ def test_gold_job_writes_and_registers(spark, sf, tmp_path):
     assert spark.table("v_base_clean").count() <= spark.table("season_shift").count()
     assert set(gold.build_gold(silver)) == set(names) - {
         "crop_ml_dataset", "dim_crop_agronomy_profile"}
+
+
+def test_document_files_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
+    """All texts of a language used to be one file, and so one row."""
+    from catalog import sources
+
+    monkeypatch.setattr(sources, "FILE_DOCUMENTS", 7)
+    docs = [(i, f"text {i}" if i % 9 else None, "de" if i % 5 == 0 else "en") for i in range(100)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    lines = []
+
+    def load(*args):
+        rows = load_documents(*args)
+        lines.extend(r["text"].count("\n") for r in rows.collect())
+        return rows
+
+    load_documents = readers.load_documents
+    monkeypatch.setattr(readers, "load_documents", load)
+    got = {r["lang"]: r["characters"] for r in sources.src_13(spark, str(tmp_path)).collect()}
+    assert got == {g: sum(len(t or "") + 1 for _, t, lang in docs if lang == g)
+                   for g in ("de", "en")}
+    assert sum(lines) == 100 and max(lines) <= 7
