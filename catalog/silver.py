@@ -445,11 +445,13 @@ def srt_02b(spark, sf):
 
 @query("srt_03_select_even", """
 WITH chosen AS (SELECT c_name FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 9800),
+head AS (SELECT c_name FROM chosen ORDER BY c_name LIMIT 50),
 rest AS (SELECT c_name, row_number() OVER (ORDER BY c_name) - 1 AS pos FROM customer
          WHERE c_name NOT IN (SELECT c_name FROM chosen)),
 size AS (SELECT count(*) AS n, 50 - (SELECT count(*) FROM chosen) AS need FROM rest),
-picks AS (SELECT i * (n - 1) // (need - 1) AS pos FROM size, range(50) t(i) WHERE i < need)
-SELECT c_name, 'preferred' AS picked_as FROM chosen
+picks AS (SELECT i * (n - 1) // greatest(need - 1, 1) AS pos FROM size, range(50) t(i)
+          WHERE i < need)
+SELECT c_name, 'preferred' AS picked_as FROM head
 UNION ALL SELECT c_name, 'spaced' FROM rest WHERE pos IN (SELECT pos FROM picks)""")
 def srt_03(spark, sf):
     customer = X.table(spark, sf, "customer")

@@ -149,3 +149,23 @@ def test_smallest_hashes_against_ranks(spark, digits, most):
                 assert part["s"].sum() == min(n, want)
                 taken, left = part[part["s"]]["h"], part[~part["s"]]["h"]
                 assert not len(taken) or not len(left) or taken.max() <= left.min()
+
+
+@pytest.mark.parametrize("rich,balance", [(60, 1), (50, 1), (49, 2), (3, 5)])
+def test_select_even_and_its_sql_keep_to_fifty(spark, tmp_path, rich, balance):
+    """The SQL used to return all preferred names, and none beside 49 of them."""
+    import duckdb
+
+    from catalog import silver
+    from catalog.registry import ORACLES
+
+    rows = [(f"c{i * 37 % 211:03d}", "BUILDING", 9900.0 if i < rich else 1.0) for i in range(211)]
+    path = str(tmp_path / "customer.parquet")
+    spark.createDataFrame(rows, "c_name string, c_mktsegment string, c_acctbal double").write.parquet(
+        path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM '{path}/*.parquet'")
+    want = sorted(con.execute(ORACLES["srt_03_select_even"]).fetchall())
+    got = sorted(tuple(r) for r in silver.srt_03(spark, str(tmp_path)).collect())
+    assert got == want and len(got) == 50
+    assert sum(how == "preferred" for _, how in got) == min(rich, 50)
