@@ -307,6 +307,15 @@ CTE["renewable"] = (("renewable_cities",), """
       ELSE 'Hybrid' END AS recommended_energy_type
   FROM renewable_cities""")
 
+# the mean index from whole hundredths: equal cities have equal values whatever the order of rows
+CTE["exact_cities"] = (("renewable_days",), CTE["renewable_cities"][1].replace(
+    """avg(round(wind_10m_score * 0.6::DOUBLE + solar_score * 0.4::DOUBLE, 2))
+      AS renewable_index""",
+    """sum(round(round(wind_10m_score * 0.6::DOUBLE + solar_score * 0.4::DOUBLE, 2) * 100)::BIGINT)
+      ::DOUBLE / count(*) / 100 AS renewable_index"""))
+CTE["exact_renewable"] = (("exact_cities",), CTE["renewable"][1].replace(
+    "renewable_cities", "exact_cities"))
+
 
 # ---------------------------------------------------------------- notebook-style tables
 def hourly(spark: SparkSession, sf: str, gaps: bool = False) -> DataFrame:

@@ -161,7 +161,7 @@ def agg_08(spark, sf):
 @query("win_02_renewable_rank", X.sql(f"""
 SELECT {_IDS}, {_rounded(_RENEW, 5)}, CAST(renewable_rank AS BIGINT) AS renewable_rank,
   renewable_category, greenhouse_wind_suitability, recommended_energy_type
-FROM renewable""", "renewable"))
+FROM exact_renewable""", "exact_renewable"))
 def win_02(spark, sf):
     return present(X.renewable(spark, sf), 5)
 

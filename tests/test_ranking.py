@@ -169,3 +169,23 @@ def test_select_even_and_its_sql_keep_to_fifty(spark, tmp_path, rich, balance):
     got = sorted(tuple(r) for r in silver.srt_03(spark, str(tmp_path)).collect())
     assert got == want and len(got) == 50
     assert sum(how == "preferred" for _, how in got) == min(rich, 50)
+
+
+def test_cities_of_equal_index_share_a_rank(spark):
+    """Means of the same days in another order used to differ in the last bits."""
+    from fieldcast.operators import renewable
+
+    # one city has each day three times: the same mean from other sums
+    days = [(c, float(v % 20), float(v % 97)) for c, times in ((1, 1), (2, 3), (3, 7))
+            for v in range(1, 180) for _ in range(times)]
+    daily = spark.createDataFrame(days, "city_id int, wind double, cloud double").select(
+        F.lit(1).alias("region_id"), F.lit(1).alias("state_id"), "city_id",
+        F.lit(6).alias("month"), F.col("wind").alias("avg_wind_speed_10m"),
+        F.col("wind").alias("avg_wind_speed_100m"), F.col("cloud").alias("avg_cloud_cover"),
+        F.col("wind").alias("max_wind_speed_10m"), F.col("wind").alias("max_wind_speed_100m"))
+    plain = renewable.renewable_summary(renewable.renewable_scores(daily)).select(
+        "renewable_index").distinct().count()
+    assert plain > 1
+    out = renewable.build_renewable_ranking(daily).collect()
+    assert [r["renewable_rank"] for r in out] == [1, 1, 1]
+    assert len({r["renewable_index"] for r in out}) == 1
