@@ -16,6 +16,7 @@ from pyspark.ml.feature import IDF, HashingTF, IDFModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldcast import config as C
 from fieldcast.operators.blocks import blocks
@@ -23,8 +24,10 @@ from fieldcast.operators.ranking import dedup_first
 from fieldcast.session import checkpoint
 
 
-#: Scores that one slice of items may have in a task (32 MB).
-PRODUCT_VALUES = 4_000_000
+#: Scores that one slice of items may have in a task (8 MB).
+PRODUCT_VALUES = 1_000_000
+#: Bytes of text that are cut into chunks before the chunks are handed on.
+PIECE_BYTES = 1 << 20
 
 
 def _cut(text: str, sep: str) -> list[str]:
@@ -75,13 +78,39 @@ def chunk_documents(docs: DataFrame, text: str = "text", size: int = C.CHUNK_SIZ
                     separators: Sequence[str] = C.CHUNK_SEPARATORS) -> DataFrame:
     """One row per chunk with its position; all other columns are kept."""
     seps = tuple(separators)
-
-    @F.pandas_udf("array<string>")
-    def chunks(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_text(t, size, overlap, seps) if t else [])
-
     keep = [c for c in docs.columns if c != text]
-    return docs.select(*keep, F.posexplode(chunks(text)).alias("position", "page_content"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            for low, high in _pieces(texts):
+                rows, positions, found = [], [], []
+                for i in range(low, high):
+                    parts = split_text(texts[i].as_py() or "", size, overlap, seps)
+                    rows += [i] * len(parts)
+                    positions += range(len(parts))
+                    found += parts
+                at = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.take(at) for c in batch.columns[:-1]), pa.array(positions, pa.int32()),
+                     pa.array(found, pa.string())], names=[*keep, "position", "page_content"])
+
+    narrow = docs.select(*keep, text)
+    schema = T.StructType([*narrow.schema.fields[:-1], T.StructField("position", T.IntegerType()),
+                           T.StructField("page_content", T.StringType())])
+    return narrow.mapInArrow(run, schema)
+
+
+def _pieces(texts: pa.Array, most: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``most`` bytes of text, one row at least."""
+    low, held = 0, 0
+    for i, length in enumerate(pc.binary_length(texts).to_pylist()):
+        held += length or 0
+        if held >= most:
+            yield low, i + 1
+            low, held = i + 1, 0
+    if low < len(texts):
+        yield low, len(texts)
 
 
 def tokens(text: str | Column) -> Column:
@@ -120,7 +149,7 @@ def embed(df: DataFrame, text: str = "page_content", out: str = "embedding",
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     flat = [chunk.flatten().to_numpy(zero_copy_only=False) for chunk in column.chunks]
-    return np.concatenate(flat).reshape(-1, width)
+    return (flat[0] if len(flat) == 1 else np.concatenate(flat)).reshape(-1, width)
 
 
 def similarity_topk(queries: DataFrame, items: DataFrame, k: int = 1,
@@ -160,14 +189,14 @@ def similarity_topk(queries: DataFrame, items: DataFrame, k: int = 1,
         score, at = np.empty((mine.num_rows, 0)), np.empty((mine.num_rows, 0), np.int64)
         if mine.num_rows and others.num_rows:
             width = mine.column("size")[0].as_py()
-            others = others.take(pc.sort_indices(others.column("item")))  # ties: smaller id first
+            first = pc.sort_indices(others.column("item")).to_numpy()  # ties: smaller id first
             matrix, rest = (_matrix(t.column("vector"), width) for t in (mine, others))
             step = max(1, PRODUCT_VALUES // mine.num_rows)
             for low in range(0, len(rest), step):
-                new = matrix @ rest[low:low + step].T
+                here = first[low:low + step].astype(np.int64)
+                new = matrix @ rest[here].T
                 score = np.hstack([score, new])
-                at = np.hstack([at, np.broadcast_to(
-                    np.arange(low, low + new.shape[1]), new.shape)])
+                at = np.hstack([at, np.broadcast_to(here, new.shape)])
                 order = np.argsort(-score, axis=1, kind="stable")[:, :k]
                 score, at = (np.take_along_axis(x, order, 1) for x in (score, at))
         asks = pa.array(np.repeat(np.arange(mine.num_rows), at.shape[1]), pa.int64())
@@ -184,20 +213,20 @@ def similarity_topk(queries: DataFrame, items: DataFrame, k: int = 1,
         F.col("query").alias(query_id), F.col("item").alias(item_id), "score", "rank")
 
 
-def _name_finder(names: Sequence[str]) -> Callable[[Iterator[pd.Series]], Iterator[pd.Series]]:
-    """Function from texts to the lists of names they contain."""
+def _name_finder(names: Sequence[str]) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
+    """Function from texts to the lists of names they contain; holds one text at a time."""
     lowered: dict[str, list[str]] = {}
     for n in names:
         lowered.setdefault(n.lower(), []).append(n)
 
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         machine = ahocorasick.Automaton()  # once per task
         for key in lowered:
             machine.add_word(key, key)
         machine.make_automaton()
         for texts in batches:
-            yield texts.map(lambda t: [n for key in {k for _, k in machine.iter(t.lower())}
-                                       for n in lowered[key]] if t else [])
+            yield pa.array([[n for key in {k for _, k in machine.iter((t.as_py() or "").lower())}
+                             for n in lowered[key]] for t in texts], pa.list_(pa.string()))
 
     return find
 
@@ -216,7 +245,8 @@ def keyword_topk(queries: DataFrame, chunks: DataFrame, k: int = 2, name: str =
         names = [r[0] for r in part.collect()]  # at most one block
         if not names:
             continue
-        matches = F.pandas_udf(_name_finder(names), "array<string>")
+        matches = F.arrow_udf(_name_finder(names), "array<string>",
+                              F.ArrowUDFType.SCALAR_ITER)
         found.append(chunks.select(F.explode(matches(text)).alias(name), *keep))
     if not found:
         found = [chunks.select(F.lit("").alias(name), *keep).limit(0)]

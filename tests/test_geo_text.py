@@ -304,3 +304,19 @@ def test_recency_weights_recent_years(spark):
     got = crop.recency_climate(df, measures=("temp",)).first()["temp"]
     assert got == round((10 * w + 20) / (w + 1), 1)
     assert crop.recency_climate(df, measures=("temp",), decay=None).first()["temp"] == 15.0
+
+
+def test_chunking_holds_few_texts_at_a_time(spark):
+    """Chunks of a whole Arrow batch used to be held at once; kept columns stay with their text."""
+    import pyarrow as pa
+
+    texts = pa.array(["a" * 40, None, "", "b" * 70, "c", "d" * 10])
+    assert list(text._pieces(texts, 50)) == [(0, 4), (4, 6)]
+    assert list(text._pieces(texts.slice(0, 0), 50)) == []
+    rows = [(i, f"word{i} " * (i % 400) if i % 7 else None, [i]) for i in range(900)]
+    df = spark.createDataFrame(rows, "k int, text string, more array<int>").coalesce(1)
+    out = text.chunk_documents(df)
+    assert out.columns == ["k", "more", "position", "page_content"]
+    got = [(r["k"], r["more"], r["position"], r["page_content"]) for r in out.collect()]
+    assert got == [(k, m, p, c) for k, t, m in rows
+                   for p, c in enumerate(text.split_text(t) if t else [])]
