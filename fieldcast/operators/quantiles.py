@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldcast.functions.keys import finite
@@ -44,6 +44,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     part beside it and goes through the same steps again, so the answer is exact whatever the
     sketch returns, and no task orders a group's values.
 
+    Where no group has more than ``most_cells`` distinct values of a column, by an estimate, none
+    of this is needed: one pass counts the distinct values, and ranks are read from running counts.
+
     Groups without values have no row.
     """
     keys = list(keys)
@@ -51,6 +54,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     probs = sorted({float(p) for p in probs})
     gap = 2.0 / _ACCURACY
     long = to_long(df, cols, keys)
+    kinds = df.groupBy(*keys).agg(F.greatest(F.lit(0), F.lit(0), *[
+        F.approx_count_distinct(finite(F.col(f"`{c}`"))) for c in cols]).alias("kinds"))
+    if (kinds.agg(F.max("kinds")).first()[0] or 0) <= most_cells:
+        return _between(_counted(long, by, probs), by, probs)
     bounds = [b for p in probs for b in (max(p - gap, 0.0), min(p + gap, 1.0))]
     sketch = long.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most"),
@@ -79,6 +86,28 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             break
     at = lambda t: F.max(F.when(F.col("t") == t, F.col("value")))
     wide = found.groupBy(*by, "n").agg(*[at(t).alias(f"_v{t}") for t in range(2 * len(probs))])
+    return _between(wide, by, probs)
+
+
+def _counted(long: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+    """The values at the two ranks of each probability, from running counts of distinct values."""
+    counts = long.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("_count"))
+    group = Window.partitionBy(*by)
+    upto = F.sum("_count").over(group.orderBy("value").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow))
+    placed = counts.withColumns({"n": F.sum("_count").over(group), "_upto": upto})
+
+    def at(p: float, side: int) -> Column:
+        k = F.least(F.floor(F.lit(p) * (F.col("n") - 1)) + side, F.col("n") - 1)
+        # the first value whose running count passes the rank
+        return F.min(F.when(F.col("_upto") > k, F.col("value")))
+
+    return placed.groupBy(*by, "n").agg(*[
+        at(p, side).alias(f"_v{2 * i + side}") for i, p in enumerate(probs) for side in (0, 1)])
+
+
+def _between(wide: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+    """A row per probability, interpolated between the values at its two ranks."""
     position = F.col("q.p") * (F.col("n") - 1)
     return wide.select(*by, "n", F.explode(F.array(*[
         F.struct(F.lit(p).alias("p"), F.col(f"_v{2 * i}").alias("a"),

@@ -189,3 +189,24 @@ def test_cities_of_equal_index_share_a_rank(spark):
     out = renewable.build_renewable_ranking(daily).collect()
     assert [r["renewable_rank"] for r in out] == [1, 1, 1]
     assert len({r["renewable_index"] for r in out}) == 1
+
+
+def test_quantiles_of_few_kinds_need_no_brackets(spark, monkeypatch):
+    """Columns of few distinct values used to go through sketch and brackets as well."""
+    from fieldcast.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "_picked", None)
+    rng = np.random.default_rng(8)
+    frame = pd.DataFrame({"g": rng.choice(["a", "b", None], 3000), "x": rng.integers(0, 50, 3000) / 8,
+                          "z": np.where(rng.random(3000) < 0.1, np.nan, rng.integers(-3, 3, 3000))})
+    for keys in (["g"], []):
+        out = exact_quantiles(spark.createDataFrame(frame), ["x", "z"], [0.0, 0.25, 0.5, 0.99, 1.0],
+                              keys).toPandas()
+        groups = frame.groupby("g", dropna=False) if keys else [(None, frame)]
+        for g, part in groups:
+            for col in ("x", "z"):
+                mine = out[out["feature"] == col]
+                if keys:
+                    mine = mine[mine["g"].isna() if pd.isna(g) else mine["g"] == g]
+                assert mine.sort_values("p")["value"].tolist() == pytest.approx(
+                    np.quantile(part[col].dropna(), [0.0, 0.25, 0.5, 0.99, 1.0]), rel=1e-12)
