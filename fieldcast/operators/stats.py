@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,13 +19,72 @@ from fieldcast.operators.ranking import global_order
 from fieldcast.session import checkpoint
 
 
+_MOMENTS = "pair int, n double, mx double, my double, vx double, vy double, c double"
+
+
+def _joined(a: tuple, b: tuple) -> tuple:
+    """Counts, means and centred sums of two sets of rows as those of both; arrays or numbers."""
+    n = a[0] + b[0]
+    dx, dy, share = b[1] - a[1], b[2] - a[2], b[0] / np.maximum(n, 1)
+    both = a[0] * share
+    return (n, a[1] + dx * share, a[2] + dy * share, a[3] + b[3] + dx * dx * both,
+            a[4] + b[4] + dy * dy * both, a[5] + b[5] + dx * dy * both)
+
+
+def _batch_moments(values: np.ndarray, x: list[int], y: list[int]) -> tuple:
+    """Moments of the pairs of columns (x, y) over the rows where both are present."""
+    there = ~np.isnan(values)
+    count = np.maximum(there.sum(0), 1)
+    # centred from a value that occurs: a constant column gives exact zeros
+    least = np.min(values, axis=0, where=there, initial=np.inf)
+    least = np.where(np.isfinite(least), least, 0.0)
+    shift = least + np.where(there, values - least, 0.0).sum(0) / count
+    held, there = np.where(there, values - shift, 0.0), there.astype(np.float64)
+    n = (there.T @ there)[x, y]
+    sums, squares = held.T @ there, (held * held).T @ there
+    some = np.maximum(n, 1)
+    sx, sy = sums[x, y], sums[y, x]
+    return (n, shift[x] + sx / some, shift[y] + sy / some, squares[x, y] - sx * sx / some,
+            squares[y, x] - sy * sy / some, (held.T @ held)[x, y] - sx * sy / some)
+
+
 def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], name: str) -> DataFrame:
-    """One scan, one row of correlations, turned into (feature_1, feature_2, r)."""
-    row = df.agg(*[F.corr(F.col(a), F.col(b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    packed = F.array(*[F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"),
-                                F.col(f"p{i}").alias(name))
-                       for i, (a, b) in enumerate(pairs)])
-    return row.select(F.inline(packed))
+    """One scan, one row of moments per task and pair, joined to (feature_1, feature_2, r).
+
+    One ``corr`` per pair in one aggregate has more buffers than Spark compiles code for, so the
+    moments of all pairs are matrix products of a batch.  Undefined correlations are NULL.
+    """
+    cols = df.columns
+    x, y = ([cols.index(p[side]) for p in pairs] for side in (0, 1))
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if batch.num_rows:
+                found = _batch_moments(np.stack([c.to_numpy(zero_copy_only=False)
+                                                 for c in batch.columns], axis=1), x, y)
+                held = found if held is None else _joined(held, found)
+        if held is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(x)), pa.int32()), *map(pa.array, held)],
+                names=["pair", "n", "mx", "my", "vx", "vy", "c"])
+
+    def join(rows: pd.DataFrame) -> pd.DataFrame:
+        held = None
+        for row in rows.drop(columns="pair").itertuples(index=False, name=None):
+            held = row if held is None else _joined(held, row)
+        n, _, _, vx, vy, c = held
+        r = c / np.sqrt(vx * vy) if n > 1 and vx * vy > 0 else None
+        return pd.DataFrame({"pair": rows["pair"].iloc[:1], name: pd.Series([r], dtype="float64",
+                                                                            index=rows.index[:1])})
+
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    found = numbers.mapInArrow(moments, _MOMENTS).groupBy("pair").applyInPandas(
+        join, f"pair int, `{name}` double").withColumn(name, F.nanvl(F.col(name), F.lit(None)))
+    names = df.sparkSession.range(1).select(F.posexplode(F.array(*[
+        F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2")) for a, b in pairs])))
+    return names.select(F.col("pos").alias("pair"), "col.*").join(found, "pair", "left").select(
+        "feature_1", "feature_2", name)
 
 
 def pearson_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
