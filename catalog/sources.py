@@ -49,6 +49,10 @@ def src_02(spark, sf):
         F.count(F.lit(1)).alias("rows"))
 
 
+#: Columns of the station files: known, so they are read once and not once more for their types.
+_HOURLY_CSV = "`Unnamed: 0` long, date timestamp, temperature_2m double, rain double"
+
+
 def _hourly_csv(spark, sf):
     """Weather as one folder of CSV files per city."""
     path = _folder(spark, "hourly")
@@ -83,7 +87,8 @@ def src_04(spark, sf):
 
 @query("src_05_ingest_city_csv", _TOTALS)
 def src_05(spark, sf):
-    df = readers.ingest_city_csv(spark, _hourly_csv(spark, sf), city_pattern="station=([^/]+)/")
+    df = readers.ingest_city_csv(spark, _hourly_csv(spark, sf), schema=_HOURLY_CSV,
+                                 city_pattern="station=([^/]+)/")
     clean = df.withColumn("city", F.regexp_replace("city", " ", "#"))
     out = _folder(spark, "bronze")
     sinks.write_dataset(clean, out, ["city"])

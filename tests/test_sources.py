@@ -103,3 +103,23 @@ def test_document_files_do_not_grow_with_the_table(spark, tmp_path, monkeypatch)
     assert got == {g: sum(len(t or "") + 1 for _, t, lang in docs if lang == g)
                    for g in ("de", "en")}
     assert sum(lines) == 100 and max(lines) <= 7
+
+
+def test_city_ingest_query_reads_the_files_once(spark, sf, monkeypatch):
+    """Its schema is given, equals what Spark would infer, and spares the pass over all files."""
+    from catalog import sources
+
+    asked = []
+
+    def ingest(session, root, schema=None, **more):
+        asked.append(schema)
+        given = ingest_city_csv(session, root, schema=schema, **more)
+        inferred = ingest_city_csv(session, root, **more)
+        assert given.dtypes == inferred.dtypes
+        assert given.exceptAll(inferred).isEmpty() and inferred.exceptAll(given).isEmpty()
+        return given
+
+    ingest_city_csv = sources.readers.ingest_city_csv
+    monkeypatch.setattr(sources.readers, "ingest_city_csv", ingest)
+    assert sources.src_05(spark, sf).count() > 0
+    assert asked and asked[0]
