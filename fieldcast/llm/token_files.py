@@ -26,9 +26,10 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -43,10 +44,24 @@ ROW_GROUP_MB = 16
 PAGE_KB = 64
 SCHEMA = "part int, doc_id long, local_start long, n_tokens long, ids array<int>"
 
-_WORDS = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[a-z\x80-\xff]+|[0-9]|[^a-z0-9\x80-\xff\s]+")
+_WORDS = re.compile(rb"[a-z\x80-\xff]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-z0-9\x80-\xff\s]+")
 _SHOWN = re.compile(rb"[\x21-\x7e]+")
 
 
+class _Known(dict):
+    """Ids of words, made on first use and kept while there are not too many."""
+
+    def __init__(self, make: Callable[[bytes], bytes]) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[word] = found = self.make(word)
+        return found
+
+
 class Encoder:
     """Whole texts to ids by the tokenizers library."""
 
@@ -59,7 +74,7 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.model = self.library.model
-        self.words: dict[bytes, bytes] = {}
+        self.words = _Known(self._word)
         self.chars = {byte: char for char, byte in tokenizer.byte_chars().items()}
         kinds = [str(type(x).__name__) for x in self._steps()]
         self.fast = kinds == ["NFC", "Replace", "Lowercase"]
@@ -82,26 +97,17 @@ class Encoder:
     def _word(self, word: bytes) -> bytes:
         shown = word.decode("latin-1") if _SHOWN.fullmatch(word) else "".join(
             map(self.chars.__getitem__, word))
-        return np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not self._plain(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids,
                             "<u4").tobytes()
-        out = []
-        for piece in bpe.segments(text):
-            words = _WORDS.findall(piece.lower().encode())
-            known = self.words
-            missing = set(words).difference(known)
-            if missing:
-                if len(known) + len(missing) > CACHE_WORDS:
-                    known.clear()
-                    missing = set(words)
-                for word in missing:
-                    known[word] = self._word(word)
-            out.append(b"".join(map(known.__getitem__, words)))
-        return b"".join(out)
+        return b"".join([b"".join(map(self.words.__getitem__,
+                                      _WORDS.findall(piece.lower().encode())))
+                         for piece in bpe.segments(text)])
 
 
 @lru_cache(maxsize=2)
@@ -115,17 +121,15 @@ def write(df: DataFrame, folder: str, path: str, end_id: int, text: str = "text"
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start = 0
+        start, encode = 0, encoder(path).encode
         for batch in common.slices(batches):
-            ids = [np.frombuffer(encoder(path).encode(t) + end, "<u4")
-                   for t in common.strings(batch.column(1))]
-            count = np.array([len(x) for x in ids], np.int64)
+            ids = [encode(t) + end for t in common.strings(batch.column(1))]
+            count = np.array([len(x) // 4 for x in ids], np.int64)
             before = start + np.cumsum(count) - count
             start += int(count.sum())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(2), batch.column(0), pa.array(before), pa.array(count),
-                 common.list_array(np.concatenate([*ids, np.zeros(0, "<u4")]).astype(np.int32),
-                                   count.tolist())],
+                 common.list_array(np.frombuffer(b"".join(ids), "<i4"), count.tolist())],
                 names=["part", "doc_id", "local_start", "n_tokens", "ids"])
 
     narrow = common.texts(df, text=text, doc_id=doc_id, spread=False)
