@@ -14,7 +14,9 @@ Texts are lower-cased (A-Z), cut at `[.,;:!?\\x0A-\\x0D]` into pieces and those
    one Bloom filter (`bloom`): a candidate set of any size reaches all shards in a bounded number
    of bytes.
 4. Global counts.  Every shard counts all its occurrences of the phrases in the filter (and of
-   those that only seem to be there), whole phrases are summed over the shards, and those with
+   those that only seem to be there).  A task counts up to `TASK_SHARDS` shards one after the
+   other and sums them, so it names a phrase once and not once for each shard, and hands its sums
+   on when it holds `HELD` of them.  Whole phrases are summed over the tasks, and those with
    ``min_count`` or more remain.
 
 Steps 2 to 4 run for words and pairs first and then for longer phrases, where a place is mined
@@ -31,6 +33,7 @@ table gives no rows.  Columns other than text and language are not used.
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +50,10 @@ SHARD_BYTES = 24 << 20
 FILTER_BYTES = 1 << 25
 #: Characters of text for each candidate expected, to size the filter.
 CHARS_PER_CANDIDATE = 128
+#: Shards that a task counts at most, and phrases that it holds before it hands them on.
+TASK_SHARDS, HELD = 16, 1 << 19
+#: Parts of a shard that are counted one by one: sums are held across them, so small ones do.
+COUNT_PARTS = 6
 #: Hash buckets of the union for each shard.
 BUCKETS = 4
 #: A candidate goes if a longer one that holds it has this percentage of its count.
@@ -268,31 +275,55 @@ def _candidates(shards: DataFrame, lengths: range, min_count: int, size: int,
     return bloom.Shared(spark.sparkContext.broadcast(union), probes)
 
 
-def _counts(shards: DataFrame, lengths: range, min_count: int, size: int,
-            allowed: bloom.Shared, pairs=None) -> DataFrame:
-    """lang, length, phrase and its count in all shards, of the phrases in the filter.
+def _task_counts(shards: DataFrame, lengths: range, size: int, allowed: bloom.Shared,
+                 pairs=None) -> DataFrame:
+    """lang, length, phrase and its count in the shards of a task, of the phrases in the filter.
 
     With words (length 1) also a row of length 0 for each language: all its words.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in _corpora(batches, size):
+        sums: dict[tuple[str, int], dict[bytes, int]] = defaultdict(lambda: defaultdict(int))
+        for held in _corpora(batches, size // (2 * COUNT_PARTS)):
             for lang in list(held):
                 corpus = held.pop(lang)
                 if 1 in lengths:
-                    yield _batch(lang, 0, [b""], [corpus.words])
+                    sums[lang, 0][b""] += corpus.words
                 for length, at, n, _ in mine(corpus, lang, lengths, 1, allowed.contains,
                                              pairs and pairs.contains):
-                    names, ids = corpus.names, corpus.ids
+                    names, ids, into = corpus.names, corpus.ids, sums[lang, length]
                     for a in range(0, len(at), 1 << 16):
                         rows = ids[at[a:a + (1 << 16), None] + np.arange(length)].tolist()
-                        yield _batch(lang, length, [b" ".join([names[i] for i in row])
-                                                    for row in rows], n[a:a + (1 << 16)])
+                        for row, count in zip(rows, n[a:a + (1 << 16)].tolist()):
+                            into[b" ".join([names[i] for i in row])] += count
+            if sum(map(len, sums.values())) >= HELD:
+                yield from _summed(sums)
+        yield from _summed(sums)
+
+    spark = shards.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism,
+                -(-len(shards.inputFiles()) // TASK_SHARDS))
+    return shards.coalesce(tasks).mapInArrow(
+        run, "lang string, length int, phrase binary, n long")
 
-    return shards.mapInArrow(run, "lang string, length int, phrase binary, n long").groupBy(
+
+def _counts(shards: DataFrame, lengths: range, min_count: int, size: int,
+            allowed: bloom.Shared, pairs=None) -> DataFrame:
+    """lang, length, phrase and its count in all shards, `_task_counts` summed."""
+    return _task_counts(shards, lengths, size, allowed, pairs).groupBy(
         "lang", "length", "phrase").agg(F.sum("n").alias("n")).where(
         (F.col("n") >= min_count) | (F.col("length") == 0))
 
 
+def _summed(sums: dict[tuple[str, int], dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
+    """The sums of a task, which are empty afterwards."""
+    for lang, length in list(sums):
+        found = sums.pop((lang, length))
+        phrases, n = list(found), list(found.values())
+        del found
+        for a in range(0, len(phrases), 1 << 16):
+            yield _batch(lang, length, phrases[a:a + (1 << 16)], n[a:a + (1 << 16)])
+
+
 def _batch(lang: str, length: int, phrases: list[bytes], n) -> pa.RecordBatch:
     count = len(phrases)
     return pa.RecordBatch.from_arrays(

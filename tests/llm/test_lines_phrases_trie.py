@@ -282,3 +282,22 @@ def test_sql_twins_on_edge_rows(spark, tmp_path):
         order = [[c[0] for c in cursor.description].index(n) for n in found.columns]
         wanted = sorted((tuple(r[i] for i in order) for r in cursor.fetchall()), key=repr)
         assert pairs(found, *found.columns) == wanted, name
+
+
+def test_a_counting_task_names_a_phrase_once(spark, monkeypatch):
+    """Shards of one task are summed before its rows leave it, in any number of hand-overs."""
+    rows = [(i, f"one two three four word{i % 7}", "en") for i in range(400)]
+    docs = with_schema(spark, [(d, t, la, "s") for d, t, la in rows]).repartition(3)
+    shards = phrases._shards(docs, 600)
+    assert len(shards.inputFiles()) >= 8
+    wanted = phrases._candidates(shards, range(1, 3), 100, 600, 1 << 16)
+    named = phrases._task_counts(shards, range(1, 3), 600, wanted).collect()
+    tasks = max(spark.sparkContext.defaultParallelism, -(-len(shards.inputFiles()) // 16))
+    of_one = [r.n for r in named if bytes(r.phrase) == b"one"]
+    assert len(of_one) <= tasks < len(shards.inputFiles()) and sum(of_one) == 400
+    want = sorted((r.length, bytes(r.phrase), r.n) for r in phrases._counts(
+        shards, range(1, 3), 100, 600, wanted).collect())
+    assert (2, b"three four", 400) in want and (0, b"", 2000) in want
+    monkeypatch.setattr(phrases, "HELD", 1)
+    again = phrases._counts(shards, range(1, 3), 100, 600, wanted)
+    assert sorted((r.length, bytes(r.phrase), r.n) for r in again.collect()) == want
