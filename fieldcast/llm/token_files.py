@@ -15,8 +15,9 @@ read without touching other ids.  The position of a file in the corpus is not st
 sum over the files before it, taken from ``local_start`` and ``n_tokens``.
 
 Encoding uses the tokenizers library.  Texts whose non-ASCII characters are all Latin letters
-are lower-cased and cut into words here and each distinct word goes through the library's BPE
-model once per worker; every other text goes through the library's whole pipeline.
+are lower-cased, joined and cut into words here, about 2 MB at once.  Each distinct word of such
+a batch is looked up once in the worker's bounded dictionary and goes through the library's BPE
+model if it is not there; every other text goes through the library's whole pipeline.
 
 Defined cases: null and empty texts hold the end id alone; documents with equal ids keep the
 order of their texts; a null id sorts first; an empty table gives an empty folder of one file.
@@ -29,7 +30,8 @@ import re
 import struct
 import unicodedata
 import zlib
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -39,26 +41,66 @@ from pyspark.sql import functions as F
 
 from fieldcast.llm import bpe, common, tokenizer
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 ROW_GROUP_MB = 16
 PAGE_KB = 64
 SCHEMA = "part int, doc_id long, local_start long, n_tokens long, ids array<int>"
 
-_WORDS = re.compile(rb"[a-z\x80-\xff]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-z0-9\x80-\xff\s]+")
+#: About so many bytes of text are split at once.
+HELD = 1 << 21
+#: Put behind each text; this byte is in no UTF-8 text.
+END = b"\xff"
+
 _SHOWN = re.compile(rb"[\x21-\x7e]+")
 
+# Kind of each byte.  Neighbours of one kind are one word; from _DIGIT on a byte stands alone.
+_OTHER, _LETTER, _SPACE, _DIGIT, _END = range(5)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[*range(ord("a"), ord("z") + 1), *range(0x80, 0xff)]] = _LETTER
+_KIND[list(b" \t\n\r\f\v")] = _SPACE
+_KIND[list(b"0123456789")] = _DIGIT
+_KIND[ord(END)] = _END
+_BLANKS = bytes.maketrans(b"\t\n\r\f\v", b"     ")
+
+
+def starts_of_words(data: np.ndarray) -> np.ndarray:
+    """Where words begin, a blank before a word included, in lower-case UTF-8 ending in a blank."""
+    kind = _KIND[data]
+    cut = np.ones(len(data), bool)
+    np.not_equal(kind[1:], kind[:-1], out=cut[1:])
+    cut |= kind >= _DIGIT
+    blank = kind == _SPACE
+    cut[1:] &= ~blank[:-1]
+    cut |= blank
+    # 's 't 're 've 'm 'll 'd are words, unless the apostrophe goes on a run of other characters
+    at = np.flatnonzero(data == ord("'"))
+    at = at[kind[at - 1] != _OTHER]
+    first, second = data[at + 1], data[np.minimum(at + 2, len(data) - 1)]
+    short = np.isin(first, list(b"stmd"))
+    long = (np.isin(first, list(b"rv")) & (second == ord("e"))) | (
+        (first == ord("l")) & (second == ord("l")))
+    cut[at[short | long] + 1] = False
+    cut[at[short] + 2] = True
+    cut[at[long] + 3] = True
+    return np.flatnonzero(cut)
+
 
 class _Known(dict):
-    """Ids of words, made on first use and kept while there are not too many."""
+    """Ids of words, made on first use; of two halves the one not used for longer is dropped."""
 
     def __init__(self, make: Callable[[bytes], bytes]) -> None:
         super().__init__()
         self.make = make
+        self.old: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHE_WORDS:
+        found = self.old.pop(word, None)
+        if found is None:
+            found = self.make(word)
+        if len(self) >= CACHE_WORDS // 2:
+            self.old = dict(self)
             self.clear()
-        self[word] = found = self.make(word)
+        self[word] = found
         return found
 
 
@@ -95,19 +137,70 @@ class Encoder:
         return "İ" not in text and bpe.plain(text) and unicodedata.is_normalized("NFC", text)
 
     def _word(self, word: bytes) -> bytes:
+        word = word.strip(b" " + END)
+        if not word:
+            return b""
         shown = word.decode("latin-1") if _SHOWN.fullmatch(word) else "".join(
             map(self.chars.__getitem__, word))
-        ids = [t.id for t in self.model.tokenize(shown)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _joined(self, pieces: list[bytes], end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces of plain texts, and how many there are up to each `END`."""
+        text = b"".join([*pieces, b" "]).translate(_BLANKS)
+        data = np.frombuffer(text, np.uint8)
+        starts = starts_of_words(data)
+        offsets = np.append(starts, len(data)).astype(np.int32)
+        words = pa.BinaryArray.from_buffers(
+            pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(text)])
+        words = words.dictionary_encode()
+        which = words.indices.to_numpy()
+        # each different word is looked up once, its ids are then taken wherever it stands
+        ids = list(map(self.words.__getitem__, words.dictionary.to_numpy(zero_copy_only=False)))
+        ends = np.flatnonzero(data[offsets[1:] - 1] == ord(END))
+        for mark in np.unique(which[ends]).tolist():
+            ids[mark] = end
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(size) - size
+        size = size[which]
+        until = np.cumsum(size)
+        at = np.repeat(first[which] - until + size, size) + np.arange(int(until[-1]))
+        return np.frombuffer(b"".join(ids), "<i4")[at], until[ends]
+
+    def encode_all(self, texts: Iterable[str], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, ``end`` behind each, and the number of ids of each text."""
+        flat, until = [np.zeros(0, "<i4")], [np.zeros(1, np.int64)]
+        held: list[bytes] = []
+        total = size = 0
+
+        def take(ids: np.ndarray, ends: np.ndarray) -> None:
+            nonlocal total
+            flat.append(ids)
+            until.append(ends + total)
+            total += len(ids)
+
+        for text in texts:
+            if self._plain(text):
+                for piece in bpe.segments(text):
+                    if size >= HELD:
+                        take(*self._joined(held, end))
+                        held, size = [], 0
+                    held.append(piece.lower().encode())
+                    size += len(piece)
+                held.append(END)
+                continue
+            if held:
+                take(*self._joined(held, end))
+                held, size = [], 0
+            ids = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = np.frombuffer(ids + end, "<i4")
+            take(ids, np.array([len(ids)]))
+        if held:
+            take(*self._joined(held, end))
+        return np.concatenate(flat), np.diff(np.concatenate(until))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if not self._plain(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids,
-                            "<u4").tobytes()
-        return b"".join([b"".join(map(self.words.__getitem__,
-                                      _WORDS.findall(piece.lower().encode())))
-                         for piece in bpe.segments(text)])
+        return self.encode_all([text])[0].tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -118,18 +211,19 @@ def encoder(path: str) -> Encoder:
 def write(df: DataFrame, folder: str, path: str, end_id: int, text: str = "text",
           doc_id: str = "doc_id", row_group_mb: int = ROW_GROUP_MB, page_kb: int = PAGE_KB) -> None:
     """Encode all documents and write them to ``folder`` in ascending order of ``doc_id``."""
-    end = np.array([end_id], "<u4").tobytes()
+    end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, encode = 0, encoder(path).encode
-        for batch in common.slices(batches):
-            ids = [encode(t) + end for t in common.strings(batch.column(1))]
-            count = np.array([len(x) // 4 for x in ids], np.int64)
+        start, encode = 0, encoder(path).encode_all
+        pieces = (part for batch in batches
+                  for part in common.slices([batch], rows=batch.num_rows, size=HELD))
+        for batch in pieces:
+            ids, count = encode(common.strings(batch.column(1)), end)
             before = start + np.cumsum(count) - count
             start += int(count.sum())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(2), batch.column(0), pa.array(before), pa.array(count),
-                 common.list_array(np.frombuffer(b"".join(ids), "<i4"), count.tolist())],
+                 common.list_array(ids, count.tolist())],
                 names=["part", "doc_id", "local_start", "n_tokens", "ids"])
 
     narrow = common.texts(df, text=text, doc_id=doc_id, spread=False)

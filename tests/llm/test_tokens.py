@@ -56,6 +56,30 @@ def test_special_strings_long_words_and_cut_texts(monkeypatch):
             word_ids(text)
 
 
+def test_frequent_words_are_learned_once(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHE_WORDS", 10)
+    encoder, made = token_files.Encoder(WORDS), Counter()
+    learn = encoder.words.make
+    encoder.words.make = lambda word: made.update([word]) or learn(word)
+    for first in "abcdefgh":
+        for second in "abcdefgh":
+            text = f"often x{first}{second}"
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == word_ids(text)
+            assert len(encoder.words) + len(encoder.words.old) <= 10
+    assert made[b"often"] == 1
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(ALPHABET, max_size=8), st.sampled_from([1, 20, 1 << 22]))
+def test_texts_encoded_together(texts, held):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(token_files, "HELD", held)
+        texts = [*texts, "it's '' 's we'll 12", "", "'"]
+        ids, count = token_files.encoder(WORDS).encode_all(texts, b"\2\0\0\0")
+    want = [[*word_ids(text), 2] for text in texts]
+    assert ids.tolist() == [i for x in want for i in x] and count.tolist() == list(map(len, want))
+
+
 def test_word_dictionary_is_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_WORDS", 10)
     encoder = bpe.Encoder(BYTES)
