@@ -132,8 +132,8 @@ def counter_pieces(counters: np.ndarray) -> Iterator[pa.RecordBatch]:
                 names=["segment", "counts"])
 
 
-def counted(found: DataFrame, size: int) -> np.ndarray:
-    """Counters of all tasks added up to 255 at most, ``size`` bytes."""
+def counted(found: DataFrame, size: int, unit: int = 1) -> np.ndarray:
+    """Counters of all tasks added up, in whole ``unit``s and to 255 at most, ``size`` bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, total = None, None
         for batch in batches:
@@ -141,12 +141,12 @@ def counted(found: DataFrame, size: int) -> np.ndarray:
                 part = np.frombuffer(zlib.decompress(packed), np.uint8)
                 if segment != at:
                     if at is not None:
-                        yield _counts(at, total)
-                    at, total = segment, part.copy()
+                        yield _counts(at, total, unit)
+                    at, total = segment, part.astype(np.uint32)
                 else:
-                    total += np.minimum(part, 255 - total)
+                    total += part
         if at is not None:
-            yield _counts(at, total)
+            yield _counts(at, total, unit)
 
     summed = found.repartition("segment").sortWithinPartitions("segment").mapInArrow(
         run, "segment int, counts binary")
@@ -157,9 +157,11 @@ def counted(found: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def _counts(segment: int, total: np.ndarray) -> pa.RecordBatch:
+def _counts(segment: int, total: np.ndarray, unit: int) -> pa.RecordBatch:
+    total //= np.uint32(unit)
+    low = np.minimum(total, np.uint32(255), out=total).astype(np.uint8)
     return pa.RecordBatch.from_arrays(
-        [pa.array([segment], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)],
+        [pa.array([segment], pa.int32()), pa.array([zlib.compress(low.tobytes(), 1)],
                                                    pa.binary())], names=["segment", "counts"])
 
 

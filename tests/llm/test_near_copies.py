@@ -1,7 +1,9 @@
 """Near copies of the pipeline against brute-force Jaccard similarity."""
 
+import math
 import random
 
+import numpy as np
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
@@ -157,6 +159,20 @@ def test_counters_of_a_share_of_the_texts(spark, monkeypatch):
     check(docs, [r.doc_id for r in near_copies.keep_first(frame).collect()])
 
 
+def test_all_texts_are_counted(spark, monkeypatch):
+    """With far fewer counters than shingles only a share of the texts used to be counted."""
+    monkeypatch.setattr(near_copies, "COUNTER_LOAD", 1 / 64)
+    texts = [f"{prose(99, 12)} {prose(i // 3, 30)}" for i in range(240)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    held = near_copies.frequencies(frame, 5, 1 << 16).value
+    unit = math.ceil(sum(map(len, texts)) / near_copies.CHARS_PER_COUNTER / len(held) * 64)
+    own = np.zeros(len(held), np.int64)
+    for text in texts:
+        at = near_copies.shingles(text).view(np.uint64) & np.uint64(len(held) - 1)
+        own[np.unique(at).astype(np.int64)] += 1
+    assert unit > 1 and (held == own // unit).all() and held.max() == 240 // unit
+
+
 def test_shingles_of_few_nodes_take_no_rounds(spark, monkeypatch):
     """Pairs at a rare shingle are settled where they meet, against brute force."""
     chance, nodes, near = random.Random(3), [], set()
