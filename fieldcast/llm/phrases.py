@@ -3,8 +3,10 @@
 Texts are lower-cased (A-Z), cut at `[.,;:!?\\x0A-\\x0D]` into pieces and those into words
 (everything but blanks and tabs).  Phrases are runs of words inside a piece, counted per language.
 
-1. Shards.  The texts are dealt once into shards of about `SHARD_BYTES`, written to the shared
-   folder.  A shard's share of a language is its characters of that language over all of them.
+1. Shards.  The texts are dealt once into shards of about `SHARD_BYTES`, cut into words there and
+   written to the shared folder as numbers, with the list of words of each language: the later
+   steps read numbers and cut no text again.  A shard's share of a language is its characters of
+   that language over all of them.
 2. Local mining.  Each shard is mined completely, length by length, at the local support
    ``min_count * share``: a phrase with less than that in every shard has less than ``min_count``
    in all.  A phrase is looked at only where both phrases of one word less are locally frequent.
@@ -33,12 +35,14 @@ table gives no rows.  Columns other than text and language are not used.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldcast.llm import bloom, common
@@ -54,6 +58,8 @@ CHARS_PER_CANDIDATE = 128
 TASK_SHARDS, HELD = 16, 1 << 19
 #: Parts of a shard that are counted one by one: sums are held across them, so small ones do.
 COUNT_PARTS = 6
+#: Bytes that Spark hands to Python at once: a row of numbers is large, and one or two do.
+BATCH_BYTES = 4 << 20
 #: Hash buckets of the union for each shard.
 BUCKETS = 4
 #: A candidate goes if a longer one that holds it has this percentage of its count.
@@ -85,23 +91,46 @@ class Corpus:
 
     def __init__(self) -> None:
         self.vocab = Vocabulary({BREAK: 0})
-        self.parts: list[np.ndarray] = []
-        self.words = self.chars = self.total = 0
+        self.ids = array("i")
+        self.chars = self.total = 0
 
     def add(self, text: str) -> None:
-        found = words_of(text)
-        found.append(BREAK)
-        ids = np.fromiter(map(self.vocab.__getitem__, found), np.int32, len(found))
-        self.words += int(np.count_nonzero(ids))
-        self.parts.append(ids)
+        self.ids.extend(map(self.vocab.__getitem__, words_of(text)))
+        self.ids.append(0)
         self.chars += len(text)
 
-    def close(self) -> np.ndarray:
-        """All numbers, and the list of words by number."""
-        self.ids = np.concatenate(self.parts) if self.parts else np.empty(0, np.int32)
-        self.parts = []
-        self.names = list(self.vocab)
-        return self.ids
+    def row(self, lang: str) -> pa.RecordBatch:
+        """The numbers (packed) and the words by number, but for the break."""
+        names = iter(self.vocab)
+        next(names)
+        size = len(self.ids)
+        words = int(np.count_nonzero(np.frombuffer(self.ids, np.int32)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang]), *(pa.array([n], pa.int64())
+                                 for n in (self.total, self.chars, words, size)),
+             pa.array([b"\n".join(names)], pa.binary()),
+             pa.array([pa.compress(pa.py_buffer(self.ids), "zstd", asbytes=True)], pa.binary())],
+            names=["lang", "total", "chars", "words", "size", "names", "ids"])
+
+
+class Numbered:
+    """Words of one language of one shard, as they are read again."""
+
+    def __init__(self, lang: str, total: int, chars: int, words: int, size: int, names: bytes,
+                 ids: bytes) -> None:
+        self.lang, self.total, self.chars, self.words = lang, total, chars, words
+        self.names = [BREAK, *(names.split(b"\n") if names else ())]
+        self.ids = np.frombuffer(pa.decompress(ids, 4 * size, "zstd"), np.int32)
+        self.hashes = word_hashes(self.names, lang)
+
+    def parts(self, size: int) -> Iterator[np.ndarray]:
+        """The numbers in parts of about ``size``, cut where pieces end."""
+        ends = np.flatnonzero(self.ids == 0) + 1
+        at = 0
+        while at < len(self.ids):
+            to = ends[min(np.searchsorted(ends, at + size), len(ends) - 1)]
+            yield self.ids[at:to]
+            at = to
 
 
 def word_hashes(names: list[bytes], lang: str) -> np.ndarray:
@@ -119,15 +148,15 @@ def grown(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
     return mixed * np.uint64(0x94D049BB133111EB)
 
 
-def mine(corpus: Corpus, lang: str, lengths: range, support: float, allowed=None, pairs=None):
-    """Phrases of the lengths asked for, level by level.
+def mine(corpus: Numbered, ids: np.ndarray, lengths: range, support: float, allowed=None,
+         pairs=None):
+    """Phrases of the lengths asked for in some numbers of the corpus, level by level.
 
     Yields (length, place of the first occurrence, count, hash) arrays.  A place counts at a
     level if it did at the level before, here and one word on.  ``allowed`` tells by hash which
     phrases are wanted at these lengths; ``pairs`` which word pairs may lie in longer phrases.
     """
-    ids = corpus.close()
-    of_word = word_hashes(corpus.names, lang)
+    of_word = corpus.hashes
     counts = np.bincount(ids, minlength=len(corpus.names))
     good = counts >= support
     if allowed is not None and 1 in lengths:
@@ -170,18 +199,29 @@ def mine(corpus: Corpus, lang: str, lengths: range, support: float, allowed=None
 
 
 def _shards(docs: DataFrame, size: int) -> DataFrame:
-    """lang, text and the characters of the language in all texts, in shards of one file each."""
+    """Words of all texts by shard and language, see `Corpus.row`; shards of one file each.
+
+    ``total`` is the characters of the language in all texts, ``chars`` those in the shard.
+    """
     rows = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text").where(
         F.length("text") > 0)
     chars = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("total"),
                                      F.sum(F.octet_length("text")).alias("bytes"))
     number = -(-(chars.agg(F.sum("bytes")).first()[0] or 1) // size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _corpora(batches, size):
+            for lang in list(held):
+                yield held.pop(lang).row(lang)
+
     return common.pinned(rows.join(chars.drop("bytes"), "lang").select(
-        "lang", "text", "total").repartition(number))
+        "lang", "text", "total").repartition(number).mapInArrow(
+        run, "lang string, total long, chars long, words long, size long, names binary, "
+             "ids binary"))
 
 
 def _corpora(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[dict[str, Corpus]]:
-    """Languages of a shard; a shard beyond twice its size is mined in parts."""
+    """Languages of a shard; a shard beyond twice its size is kept in parts."""
     held: dict[str, Corpus] = {}
     chars = 0
     for batch in batches:
@@ -199,7 +239,26 @@ def _corpora(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[dict[str,
         yield held
 
 
-def _mined(shards: DataFrame, lengths: range, min_count: int, size: int, buckets: int,
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of `BATCH_BYTES` for the plans that run inside."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[Numbered]:
+    """Rows of `_shards` one by one."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            yield Numbered(*(c[at].as_py() for c in batch.columns))
+
+
+def _mined(shards: DataFrame, lengths: range, min_count: int, buckets: int,
            pairs=None) -> DataFrame:
     """Locally frequent phrases, packed by hash bucket: bucket, lang, hashes, excess, floor.
 
@@ -207,23 +266,22 @@ def _mined(shards: DataFrame, lengths: range, min_count: int, size: int, buckets
     what a phrase named has beyond that.  Bucket -1 has the floor of a shard and language.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in _corpora(batches, size):
-            for lang in list(held):
-                corpus = held.pop(lang)
-                support = math.ceil(min_count * corpus.chars / corpus.total - 1e-9)
-                yield _packed(-1, lang, np.empty(0, np.uint64), np.empty(0, np.int64), support - 1)
-                levels = [(h, n) for _, _, n, h in mine(corpus, lang, lengths, support,
-                                                        pairs=pairs and pairs.contains)]
-                if not levels:
-                    continue
-                hashes, n = (np.concatenate(x) for x in zip(*levels))
-                home = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(home, kind="stable")
-                hashes, excess = hashes[order], n[order] - (support - 1)
-                cuts = np.searchsorted(home[order], np.arange(buckets + 1))
-                for at in np.flatnonzero(np.diff(cuts)):
-                    here = slice(cuts[at], cuts[at + 1])
-                    yield _packed(int(at), lang, hashes[here], excess[here], 0)
+        for corpus in _numbered(batches):
+            lang = corpus.lang
+            support = math.ceil(min_count * corpus.chars / corpus.total - 1e-9)
+            yield _packed(-1, lang, np.empty(0, np.uint64), np.empty(0, np.int64), support - 1)
+            levels = [(h, n) for _, _, n, h in mine(corpus, corpus.ids, lengths, support,
+                                                    pairs=pairs and pairs.contains)]
+            if not levels:
+                continue
+            hashes, n = (np.concatenate(x) for x in zip(*levels))
+            home = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(home, kind="stable")
+            hashes, excess = hashes[order], n[order] - (support - 1)
+            cuts = np.searchsorted(home[order], np.arange(buckets + 1))
+            for at in np.flatnonzero(np.diff(cuts)):
+                here = slice(cuts[at], cuts[at + 1])
+                yield _packed(int(at), lang, hashes[here], excess[here], 0)
 
     return shards.mapInArrow(
         run, "bucket int, lang string, hashes binary, excess binary, floor long")
@@ -242,11 +300,11 @@ def _candidates(shards: DataFrame, lengths: range, min_count: int, size: int,
                 filter_bytes: int, pairs=None) -> bloom.Shared:
     """Bloom filter of the phrases whose counts may reach ``min_count`` in all shards."""
     spark = shards.sparkSession
-    chars = shards.agg(F.sum(F.length("text"))).first()[0] or 0
+    chars = shards.agg(F.sum("chars")).first()[0] or 0
     bits = bloom.bits_for(chars / CHARS_PER_CANDIDATE, filter_bytes)
     probes = bloom.probes_for(chars / CHARS_PER_CANDIDATE, bits)
     buckets = BUCKETS * (1 + chars // size)
-    mined = common.pinned(_mined(shards, lengths, min_count, size, buckets, pairs))
+    mined = common.pinned(_mined(shards, lengths, min_count, buckets, pairs))
     floors = mined.where("bucket < 0").groupBy("lang").agg(F.sum("floor").alias("floors"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,27 +339,29 @@ def _task_counts(shards: DataFrame, lengths: range, size: int, allowed: bloom.Sh
 
     With words (length 1) also a row of length 0 for each language: all its words.
     """
+    part = max(1, size // (4 * COUNT_PARTS))  # a number has four bytes
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[str, int], dict[bytes, int]] = defaultdict(lambda: defaultdict(int))
-        for held in _corpora(batches, size // (2 * COUNT_PARTS)):
-            for lang in list(held):
-                corpus = held.pop(lang)
-                if 1 in lengths:
-                    sums[lang, 0][b""] += corpus.words
-                for length, at, n, _ in mine(corpus, lang, lengths, 1, allowed.contains,
+        for corpus in _numbered(batches):
+            lang, names = corpus.lang, corpus.names
+            if 1 in lengths:
+                sums[lang, 0][b""] += corpus.words
+            for ids in corpus.parts(part):
+                for length, at, n, _ in mine(corpus, ids, lengths, 1, allowed.contains,
                                              pairs and pairs.contains):
-                    names, ids, into = corpus.names, corpus.ids, sums[lang, length]
+                    into = sums[lang, length]
                     for a in range(0, len(at), 1 << 16):
                         rows = ids[at[a:a + (1 << 16), None] + np.arange(length)].tolist()
                         for row, count in zip(rows, n[a:a + (1 << 16)].tolist()):
                             into[b" ".join([names[i] for i in row])] += count
-            if sum(map(len, sums.values())) >= HELD:
-                yield from _summed(sums)
+                if sum(map(len, sums.values())) >= HELD:
+                    yield from _summed(sums)
         yield from _summed(sums)
 
-    spark = shards.sparkSession
-    tasks = max(spark.sparkContext.defaultParallelism,
-                -(-len(shards.inputFiles()) // TASK_SHARDS))
+    # as many tasks as run at once, or that many some times over: no few tasks are left to the end
+    wide = shards.sparkSession.sparkContext.defaultParallelism
+    tasks = wide * max(1, -(-len(shards.inputFiles()) // (TASK_SHARDS * wide)))
     return shards.coalesce(tasks).mapInArrow(
         run, "lang string, length int, phrase binary, n long")
 
@@ -343,9 +403,10 @@ def frequent(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_W
     for lengths in (range(1, min(3, max_words + 1)), range(3, max_words + 1)):
         if not lengths:
             continue
-        wanted = _candidates(shards, lengths, min_count, shard_bytes, filter_bytes, pairs)
-        level = common.pinned(_counts(shards, lengths, min_count, shard_bytes, wanted, pairs)
-                              .withColumn("phrase", F.col("phrase").cast("string")))
+        with _small_batches(docs.sparkSession):
+            wanted = _candidates(shards, lengths, min_count, shard_bytes, filter_bytes, pairs)
+            level = common.pinned(_counts(shards, lengths, min_count, shard_bytes, wanted, pairs)
+                                  .withColumn("phrase", F.col("phrase").cast("string")))
         found = level if found is None else found.unionByName(level)
         if max_words > 2 and 1 in lengths:
             pairs = _filter_of(level.where(F.col("length") == 2), filter_bytes)

@@ -301,3 +301,25 @@ def test_a_counting_task_names_a_phrase_once(spark, monkeypatch):
     monkeypatch.setattr(phrases, "HELD", 1)
     again = phrases._counts(shards, range(1, 3), 100, 600, wanted)
     assert sorted((r.length, bytes(r.phrase), r.n) for r in again.collect()) == want
+
+
+def test_texts_are_cut_into_words_once(spark):
+    """Each of the four passes over the shards used to read the texts and cut them again."""
+    rows = [(i, f"Alpha beta, gamma\tdelta {i % 5}. " * (i % 3 + 1), ["en", None][i % 2], "a")
+            for i in range(90)] + [(99, ". ,", "fr", "a"), (100, None, "fr", "a")]
+    shards = phrases._shards(with_schema(spark, rows), 500)
+    assert "text" not in shards.columns
+    held = [phrases.Numbered(*r) for r in shards.collect()]
+    of = lambda lang: [x for x in held if x.lang == lang]
+    assert {x.lang for x in held} == {"en", "und", "fr"} and len(of("en")) > 1
+    for lang in ("en", "und", "fr"):
+        texts = [lower(t or "") for _, t, la, _ in rows if (la or "und") == lang]
+        assert {x.total for x in of(lang)} == {sum(map(len, texts))}
+        assert sum(x.chars for x in of(lang)) == sum(map(len, texts))
+        words = Counter(w for t in texts for w in t.replace(",", " ").replace(".", " ").split())
+        got = Counter(x.names[i].decode() for x in of(lang) for i in x.ids[x.ids > 0].tolist())
+        assert got == words and sum(x.words for x in of(lang)) == sum(words.values())
+    for x in held:
+        parts = list(x.parts(7))
+        assert np.array_equal(np.concatenate(parts), x.ids)
+        assert all(p[-1] == 0 for p in parts)
